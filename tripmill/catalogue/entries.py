@@ -1064,7 +1064,12 @@ def mart_trips_enriched(spark, sf):
 
 @query("mart_ml_base", "SELECT * FROM ml_base")
 def mart_ml_base(spark, sf):
-    return marts.ml_base(fact_trips(spark, sf), enriched(spark, sf))
+    return marts.ml_base(fact_trips(spark, sf), mapped(spark, sf), fact_traffic(spark, sf), fact_weather(spark, sf))
+
+
+@query("mart_ml_base_from_enriched", "SELECT * FROM ml_base")
+def mart_ml_base_from_enriched(spark, sf):
+    return marts.ml_base_from_mart(fact_trips(spark, sf), enriched(spark, sf))
 
 
 @query("mart_refresh", "SELECT * FROM ml_base")

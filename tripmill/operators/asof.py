@@ -87,7 +87,7 @@ def _spans(readings: DataFrame) -> DataFrame:
 
 def _cell(t: Column) -> Column:
     raw = F.floor((seconds(t) - F.col("lo")) / F.col("width"))
-    return F.least(F.greatest(raw, F.lit(0)), F.col("cells") - 1)
+    return F.when(t.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.col("cells") - 1))
 
 
 def _fits_index(readings: DataFrame) -> bool:

@@ -12,6 +12,7 @@ from tripmill.operators.zones import voronoi_zones
 from tripmill.plans import dims, extracts, facts, marts
 from tripmill.plans.extracts import add_batch_id
 from tripmill.plans.schemas import TRAFFIC
+from tripmill.sources import landing
 from tripmill.sources.warehouse import Warehouse
 
 
@@ -90,11 +91,11 @@ def _stage(
     wh: Warehouse, landed: Landed, start: str, end: str, first_day: str, last_day: str, batch_id: str, strategy: str,
     trip_suffix: str | None, traffic_limit: int | None,
 ) -> None:
-    trips = extracts.extract_trips(landed.trips, start, end, batch_id, trip_suffix)
-    traffic = extracts.extract_traffic(landed.traffic, start, end, batch_id, traffic_limit)
-    weather = extracts.extract_weather(landed.weather, first_day, last_day, batch_id)
-    for frame, name in ((trips, "trips"), (traffic, "traffic"), (weather, "weather")):
-        require_rows(frame, f"{name} extract")
+    trips = _extract(wh, "trips", batch_id, extracts.extract_trips(landed.trips, start, end, batch_id, trip_suffix))
+    traffic = _extract(
+        wh, "traffic", batch_id, extracts.extract_traffic(landed.traffic, start, end, batch_id, traffic_limit)
+    )
+    weather = _extract(wh, "weather", batch_id, extracts.extract_weather(landed.weather, first_day, last_day, batch_id))
 
     # The stored dimension takes over what a prior extract file would hold, so each batch describes
     # its own locations and regions and the merge decides what changes.
@@ -108,6 +109,15 @@ def _stage(
     wh.append("staging.stg_raw_weather", facts.weather_staging(weather))
 
 
+def _extract(wh: Warehouse, feed: str, batch_id: str, rows: DataFrame) -> DataFrame:
+    """The typed extract as a parquet folder of its own: raw text is parsed once per run."""
+    folder = f"{wh.root}/extracts/{feed}/{batch_id}"
+    landing.write_extract(rows, folder)
+    stored = landing.read_extract(wh.spark, folder)
+    require_rows(stored, f"{feed} extract")
+    return stored
+
+
 def _spatial(wh: Warehouse) -> None:
     locations = wh.read("dim_spatial.trips_locations")
     boundary = wh.read("dim_spatial.chicago_city_boundary")
@@ -133,11 +143,9 @@ def _facts(wh: Warehouse, start: str, end: str) -> None:
 
 
 def refresh_marts(wh: Warehouse) -> None:
-    """All three marts anew, in the order they depend on each other."""
-    trips = wh.read("fact_tables.fact_trips")
-    enriched = marts.trips_enriched(
-        trips, wh.read("dim_spatial.mapped_locations"), wh.read("fact_tables.fact_traffic"), wh.read("fact_tables.fact_weather")
-    )
-    wh.replace("datamarts.fact_trips_with_traffic_weather", enriched)
+    """All three marts anew from the facts."""
+    trips, mapped = wh.read("fact_tables.fact_trips"), wh.read("dim_spatial.mapped_locations")
+    traffic, weather = wh.read("fact_tables.fact_traffic"), wh.read("fact_tables.fact_weather")
+    wh.replace("datamarts.fact_trips_with_traffic_weather", marts.trips_enriched(trips, mapped, traffic, weather))
     wh.replace("datamarts.dm_trips_hourly_pickup_stats", marts.hourly_pickup(trips))
-    wh.replace("datamarts.ml_base_table", marts.ml_base(trips, wh.read("datamarts.fact_trips_with_traffic_weather")))
+    wh.replace("datamarts.ml_base_table", marts.ml_base(trips, mapped, traffic, weather))

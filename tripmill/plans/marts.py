@@ -65,33 +65,49 @@ def window_features(trips: DataFrame) -> DataFrame:
     return recent_rows(counted, "pickup_location_id", "trip_start_timestamp", "trips_from_pickup_loc_last_30m", cuts=cuts)
 
 
-def ml_base(trips: DataFrame, enriched: DataFrame) -> DataFrame:
-    """One row per trip: times, places, nearest traffic and weather, and the two counts."""
+TRIP_COLUMNS = [
+    "trip_id", "trip_start_timestamp", "trip_end_timestamp", "rate_per_mile", "fare", "duration_minutes",
+    "trip_miles", "trip_total", "pickup_location_id", "dropoff_location_id", "pickup_community_area",
+    "dropoff_community_area",
+]
+
+# Column of the enriched mart -> column of the feature table.
+CONDITIONS = {
+    "traffic_speed": "pickup_traffic_speed",
+    "traffic_num_reads": "pickup_traffic_num_reads",
+    "weather_temp": "pickup_weather_temp",
+    "weather_feelslike": "pickup_weather_feelslike",
+    "weather_windspeed": "pickup_weather_windspeed",
+    "weather_conditions": "pickup_weather_conditions",
+}
+
+
+def _features(df: DataFrame) -> DataFrame:
     start = F.col("trip_start_timestamp")
-    features = window_features(
-        trips.select(
-            "trip_id", "trip_start_timestamp", "trip_end_timestamp", "rate_per_mile", "fare", "duration_minutes",
-            "trip_miles", "trip_total", "pickup_location_id", "dropoff_location_id", "pickup_community_area",
-            "dropoff_community_area",
-        )
-    )
-    conditions = enriched.select(
-        "trip_id",
-        F.col("traffic_speed").alias("pickup_traffic_speed"),
-        F.col("traffic_num_reads").alias("pickup_traffic_num_reads"),
-        F.col("weather_temp").alias("pickup_weather_temp"),
-        F.col("weather_feelslike").alias("pickup_weather_feelslike"),
-        F.col("weather_windspeed").alias("pickup_weather_windspeed"),
-        F.col("weather_conditions").alias("pickup_weather_conditions"),
-    )
-    return features.join(conditions, "trip_id", "left").select(
-        "trip_id", "trip_start_timestamp", "trip_end_timestamp", "rate_per_mile", "fare", "duration_minutes",
-        "trip_miles", "trip_total",
+    return df.select(
+        *TRIP_COLUMNS[:8],
         start_hour(start).alias("start_hour"),
         day_of_week(start).alias("day_of_week"),
         month_of(start).alias("month_of_trip"),
-        "pickup_location_id", "dropoff_location_id", "pickup_community_area", "dropoff_community_area",
-        "pickup_traffic_speed", "pickup_traffic_num_reads", "pickup_weather_temp", "pickup_weather_feelslike",
-        "pickup_weather_windspeed", "pickup_weather_conditions",
-        "active_trips_total", "trips_from_pickup_loc_last_30m",
+        *TRIP_COLUMNS[8:],
+        *[F.col(c).alias(name) for c, name in CONDITIONS.items()],
+        "active_trips_total",
+        "trips_from_pickup_loc_last_30m",
     )
+
+
+def ml_base(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
+    """One row per trip: times, places, nearest traffic and weather, and the two counts.
+
+    Traffic and weather are looked up on the trips themselves. Joining the enriched mart by trip id
+    gives the same rows (:func:`ml_base_from_mart`) but shuffles both tables whole; the lookups, with
+    readings few enough to broadcast, shuffle nothing.
+    """
+    counted = window_features(trips.select(*TRIP_COLUMNS))
+    placed = with_location_map(counted, mapped)
+    return _features(nearest_weather(nearest_traffic(placed, traffic), weather))
+
+
+def ml_base_from_mart(trips: DataFrame, enriched: DataFrame) -> DataFrame:
+    counted = window_features(trips.select(*TRIP_COLUMNS))
+    return _features(counted.join(enriched.select("trip_id", *CONDITIONS), "trip_id", "left"))

@@ -95,7 +95,7 @@ class Warehouse:
 
     def append(self, table: str, df: DataFrame) -> None:
         """Append to a keyed table; a key that is null, doubled or already stored fails the whole load."""
-        rows, key = self.shaped(table, df), KEYS[table]
+        rows, key = self._settled(table, self.shaped(table, df)), KEYS[table]
         require_unique(rows, *key, name=table)
         again = self.read(table).select(*key).join(rows.select(*key), key, "left_semi")
         require_none(again, f"{table}: already loaded")
@@ -116,13 +116,20 @@ class Warehouse:
         self.spark.catalog.refreshTable(self.name(table))
 
     def upsert(self, table: str, source: DataFrame, mode: str = "replace") -> None:
-        rows, (key,) = self.shaped(table, source), KEYS[table]
+        (key,) = KEYS[table]
+        rows = self._settled(table, self.shaped(table, source))
         require_unique(rows, key, name=f"batch for {table}")
         if table not in EVENT_TIME:
             self.replace(table, upsert(self.read(table), rows, key, UPDATES[table], mode))
             return
         self._upsert_days(table, rows, key, mode)
 
+    def _settled(self, table: str, rows: DataFrame) -> DataFrame:
+        """The batch as written files: it is read several times, and must not be derived anew each time."""
+        folder = f"{self.root}/batches/{table}/{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        return self.spark.read.schema(self.schema(table)).parquet(folder)
+
     def _upsert_days(self, table: str, rows: DataFrame, key: str, mode: str) -> None:
         """Rewrite the days the batch falls on and the days its stored rows are on now.
 
@@ -133,11 +140,14 @@ class Warehouse:
         days = [r[DAY] for r in rows.select(DAY).unionByName(hit).distinct().collect()]
         if not days:
             return
-        touched = stored.where(F.col(DAY).isin([d for d in days if d is not None]) | (F.col(DAY).isNull() if None in days else F.lit(False)))
+        touched = stored.where(F.col(DAY).isin([d for d in days if d is not None]))
+        if None in days:
+            touched = touched.unionAll(stored.where(F.col(DAY).isNull()))
         update = [*UPDATES[table], DAY] if EVENT_TIME[table] in UPDATES[table] else UPDATES[table]
         merged = upsert(touched, rows, key, update, mode)
         folder = self._folder(table)
-        merged.repartition(DAY, F.pmod(F.xxhash64(key), F.lit(self._files_per_day()))).write.partitionBy(DAY).parquet(folder)
+        # Spark splits a full day over several tasks and puts small days together, by measured size.
+        merged.hint("rebalance", DAY).write.partitionBy(DAY).parquet(folder)
         written = {r[DAY] for r in self.spark.read.schema(self.schema(table)).parquet(folder).select(DAY).distinct().collect()}
         for day in sorted(days, key=str):
             spec = f"{DAY} = DATE'{day}'" if day is not None else f"{DAY} = NULL"
@@ -149,7 +159,3 @@ class Warehouse:
             else:
                 self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
         self.spark.catalog.refreshTable(self.name(table))
-
-    def _files_per_day(self) -> int:
-        """A day is written by several tasks, so that a full day is not one task's work."""
-        return max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8)
