@@ -81,8 +81,12 @@ def _spans(readings: DataFrame) -> DataFrame:
     span = readings.groupBy("_k").agg(
         F.min(seconds(F.col("_rt"))).alias("lo"), F.max(seconds(F.col("_rt"))).alias("hi"), F.count("*").alias("cells")
     )
-    width = F.greatest((F.col("hi") - F.col("lo")) / F.col("cells"), F.lit(1e-6))
-    return span.select("_k", "lo", width.alias("width"), "cells")
+    return span.select("_k", "lo", _width().alias("width"), "cells")
+
+
+def _width() -> Column:
+    """Seconds per cell, a microsecond at least."""
+    return F.greatest((F.col("hi") - F.col("lo")) / F.col("cells"), F.lit(1e-6))
 
 
 def _cell(t: Column) -> Column:
@@ -96,27 +100,44 @@ def _fits_index(readings: DataFrame) -> bool:
     return (size["rows"] or 0) <= INDEX_ROWS and (size["fullest"] or 0) <= INDEX_CELL_ROWS
 
 
-def _by_index(left: DataFrame, readings: DataFrame, key: str, left_time: str) -> DataFrame:
-    spans = _spans(readings)
+def _index(readings: DataFrame) -> DataFrame:
+    """``_k, cell, candidates`` for every cell of every key.
+
+    A cell lists its own readings, the last one before it and the first one after it. Cells without
+    readings are filled in from the occupied cell in front of them. All windows run over the checked,
+    small number of readings.
+    """
+    of_key = Window.partitionBy("_k")
     held = (
-        readings.join(spans, "_k")
-        .groupBy("_k", _cell(F.col("_rt")).alias("cell"))
+        readings.withColumns(
+            {
+                "lo": F.min(seconds(F.col("_rt"))).over(of_key),
+                "hi": F.max(seconds(F.col("_rt"))).over(of_key),
+                "cells": F.count("*").over(of_key),
+            }
+        )
+        .withColumn("width", _width())
+        .groupBy("_k", _cell(F.col("_rt")).alias("held"))
         .agg(F.sort_array(F.collect_list(_reading())).alias("inside"))  # at most INDEX_CELL_ROWS long
     )
-    every = spans.select("_k", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
-    up = Window.partitionBy("_k").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy("_k").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    index = every.join(held, ["_k", "cell"], "left").select(
-        F.col("_k"),
-        "cell",
-        F.array_compact(
-            F.concat(
-                F.array(F.last(F.element_at("inside", -1), ignorenulls=True).over(up)),
-                F.coalesce(F.col("inside"), F.array()),
-                F.array(F.last(F.get("inside", F.lit(0)), ignorenulls=True).over(down)),
-            )
-        ).alias("candidates"),
+    along = of_key.orderBy("held")
+    linked = held.select(
+        "_k",
+        "held",
+        "inside",
+        F.lag(F.element_at("inside", -1)).over(along).alias("before"),
+        F.lead(F.get("inside", F.lit(0))).over(along).alias("after"),
+        F.lead("held").over(along).alias("next"),
+    )
+    every = linked.withColumn("cell", F.explode(F.sequence("held", F.coalesce(F.col("next") - 1, F.col("held")))))
+    near = F.when(F.col("cell") == F.col("held"), F.concat(F.array("before"), F.col("inside"))).otherwise(
+        F.array(F.element_at("inside", -1))
     )
+    return every.select("_k", "cell", F.array_compact(F.concat(near, F.array("after"))).alias("candidates"))
+
+
+def _by_index(left: DataFrame, readings: DataFrame, key: str, left_time: str) -> DataFrame:
+    spans, index = _spans(readings), _index(readings)
     keyed = left.join(F.broadcast(spans), left[key] == spans["_k"], "left")
     celled = keyed.withColumn("_cell", _cell(F.col(left_time))).drop("_k", "lo", "width", "cells")
     joined = celled.join(F.broadcast(index), (celled[key] == index["_k"]) & (celled["_cell"] == index["cell"]), "left")

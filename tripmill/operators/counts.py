@@ -48,44 +48,82 @@ def counts_up_to(events: DataFrame, probes: DataFrame, by: list[str], cuts: list
     )
 
 
-def _lookup(df: DataFrame, counts: DataFrame, by: list[str], t: Column, name: str) -> DataFrame:
-    """Left join the counts on ``(*by, t)``; null where ``t`` is null or not counted."""
-    right = counts.select(*by, F.col("t").alias("_t"), F.col("n_le").alias(name))
+def _lookup(df: DataFrame, counts: DataFrame, by: list[str], t: Column) -> DataFrame:
+    """Left join the count columns on ``(*by, t)``; null where ``t`` is null."""
+    right = counts.withColumnRenamed("t", "_t")
     return df.withColumn("_t", t).join(right, [*by, "_t"], "left").drop("_t")
 
 
-def _row_count(df: DataFrame) -> Column:
-    return df.agg(F.count(F.lit(1))).scalar()
+def _whole_table_if_null(df: DataFrame, name: str, t: str) -> Column:
+    """Null times sort last, so such a row has the whole table in its frame, its peers included."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return F.when(F.col(t).isNull(), rows).otherwise(F.col(name)).alias(name)
 
 
-def started_up_to(df: DataFrame, start: str, name: str, cuts: list[float] | None = None) -> DataFrame:
-    """Rows whose start is at or before this row's start, rows with the same start included.
-
-    Null starts sort last: such a row has the whole table in its frame.
-    """
+def _started_counts(df: DataFrame, start: str, name: str, cuts: list[float] | None) -> DataFrame:
     points = df.select(F.col(start).alias("t"))
-    out = _lookup(df, counts_up_to(points, points, [], cuts), [], F.col(start), name)
-    return out.withColumn(name, F.when(F.col(start).isNull(), _row_count(df)).otherwise(F.col(name)))
+    return counts_up_to(points, points, [], cuts).withColumnRenamed("n_le", name)
 
 
-def ended_before_end(df: DataFrame, end: str, name: str, cuts: list[float] | None = None) -> DataFrame:
-    """Rows that ended at least one second before this row's end.
+def _ended_counts(df: DataFrame, end: str, name: str, cuts: list[float] | None) -> DataFrame:
+    """Keyed by the instant one second before an end."""
+    ends = df.select(F.col(end).alias("t"))
+    return counts_up_to(ends, ends.select(before(F.col("t"), "1").alias("t")), [], cuts).withColumnRenamed("n_le", name)
 
-    Null ends sort last: a row without an end has every row in its frame, its peers included.
-    """
-    probe = before(F.col(end), "1")
-    counts = counts_up_to(df.select(F.col(end).alias("t")), df.select(probe.alias("t")), [], cuts)
-    out = _lookup(df, counts, [], probe, name)
-    return out.withColumn(name, F.when(F.col(end).isNull(), _row_count(df)).otherwise(F.col(name)))
+
+_BY = ["_by", "_by_null"]
+
+
+def _with_by(df: DataFrame, by: str) -> DataFrame:
+    """The grouping column as two that are never null, so that null is a group like any other."""
+    stand_in = F.lit(0).cast(df.schema[by].dataType)
+    return df.withColumns({"_by": F.coalesce(F.col(by), stand_in), "_by_null": F.col(by).isNull()})
+
+
+def _recent_counts(
+    df: DataFrame, by: str, start: str, name: str, reach: int, gap: int, cuts: list[float] | None
+) -> DataFrame:
+    """Per ``(by, start)``: the count up to ``start - gap`` less the count to just before ``start - reach``."""
+    gap_s, reach_s = f"{gap}", f"{reach}.000001"
+    starts = _with_by(df.select(by, F.col(start).alias("t")), by).select(*_BY, "t")
+    probes = starts.select(*_BY, F.explode(F.array(before(F.col("t"), gap_s), before(F.col("t"), reach_s))).alias("t"))
+    counts = counts_up_to(starts, probes, _BY, cuts)
+    # Both counts go back to the start they were asked for, so that the table is joined only once.
+    moved = counts.select(
+        *_BY,
+        F.explode(
+            F.array(
+                F.struct(after(F.col("t"), gap_s).alias("t"), F.col("n_le").alias("v")),
+                F.struct(after(F.col("t"), reach_s).alias("t"), (-F.col("n_le")).alias("v")),
+            )
+        ).alias("m"),
+    )
+    return moved.groupBy(*_BY, F.col("m.t").alias("t")).agg(F.sum("m.v").alias(name))
+
+
+def started_up_to(df: DataFrame, start: str, name: str, cuts: list[float] | None = None) -> DataFrame:
+    """Rows whose start is at or before this row's start, rows with the same start included."""
+    out = _lookup(df, _started_counts(df, start, name, cuts), [], F.col(start))
+    return out.select(*df.columns, _whole_table_if_null(df, name, start))
+
+
+def ended_before_end(df: DataFrame, end: str, name: str, cuts: list[float] | None = None) -> DataFrame:
+    """Rows that ended at least one second before this row's end."""
+    out = _lookup(df, _ended_counts(df, end, name, cuts), [], before(F.col(end), "1"))
+    return out.select(*df.columns, _whole_table_if_null(df, name, end))
 
 
 def active_rows(
     df: DataFrame, start: str, end: str, name: str = "active_trips_total", cuts: list[float] | None = None
 ) -> DataFrame:
-    """Started up to the row's start, minus ended before the row's end. May be negative."""
-    out = started_up_to(df, start, "_started", cuts)
-    out = ended_before_end(out, end, "_ended", cuts)
-    return out.withColumn(name, F.col("_started") - F.col("_ended")).drop("_started", "_ended")
+    """Started up to the row's start, less ended before the row's end. May be negative."""
+    started = _lookup(df, _started_counts(df, start, "_started", cuts), [], F.col(start))
+    both = _lookup(started, _ended_counts(df, end, "_ended", cuts), [], before(F.col(end), "1"))
+    return both.select(*df.columns, _active(df, start, end).alias(name))
+
+
+def _active(df: DataFrame, start: str, end: str) -> Column:
+    return _whole_table_if_null(df, "_started", start) - _whole_table_if_null(df, "_ended", end)
 
 
 def recent_rows(
@@ -99,27 +137,26 @@ def recent_rows(
 ) -> DataFrame:
     """Rows of the same ``by`` that started ``gap`` to ``reach`` seconds earlier, both ends included.
 
-    That is the count up to ``start - gap`` less the count up to just before ``start - reach``.
     Rows without a start are not counted and get 0; a null ``by`` is a group of its own.
     """
-    gap_s, reach_s = f"{gap}", f"{reach}.000001"
-    keys = ["_by", "_by_null"]
-    keyed = df.withColumns(
-        {"_by": F.coalesce(F.col(by), F.lit(0).cast(df.schema[by].dataType)), "_by_null": F.col(by).isNull()}
+    found = _lookup(_with_by(df, by), _recent_counts(df, by, start, name, reach, gap, cuts), _BY, F.col(start))
+    return found.select(*df.columns, F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name))
+
+
+def active_and_recent_rows(
+    df: DataFrame, start: str, end: str, by: str, active: str, recent: str, cuts: list[float] | None = None
+) -> DataFrame:
+    """:func:`active_rows` and :func:`recent_rows` together, with one join of ``df`` less.
+
+    Both counts that hang on the start are first brought together per ``(by, start)``.
+    """
+    per_start = _recent_counts(df, by, start, recent, 1800, 1, cuts).join(
+        _started_counts(df, start, "_started", cuts), "t"
     )
-    starts = keyed.select(*keys, F.col(start).alias("t"))
-    probes = starts.select(*keys, F.explode(F.array(before(F.col("t"), gap_s), before(F.col("t"), reach_s))).alias("t"))
-    counts = counts_up_to(starts, probes, keys, cuts)
-    # Move both counts back to the start they were asked for, so that the table is joined only once.
-    moved = counts.select(
-        *keys,
-        F.explode(
-            F.array(
-                F.struct(after(F.col("t"), gap_s).alias("t"), F.col("n_le").alias("v")),
-                F.struct(after(F.col("t"), reach_s).alias("t"), (-F.col("n_le")).alias("v")),
-            )
-        ).alias("m"),
+    found = _lookup(_with_by(df, by), per_start, _BY, F.col(start))
+    found = _lookup(found, _ended_counts(df, end, "_ended", cuts), [], before(F.col(end), "1"))
+    return found.select(
+        *df.columns,
+        _active(df, start, end).alias(active),
+        F.coalesce(F.col(recent), F.lit(0).cast("bigint")).alias(recent),
     )
-    per_start = moved.groupBy(*keys, F.col("m.t").alias("t")).agg(F.sum("m.v").alias("n_le"))
-    out = _lookup(keyed, per_start, keys, F.col(start), name).drop(*keys)
-    return out.withColumn(name, F.coalesce(F.col(name), F.lit(0).cast("bigint")))

@@ -49,9 +49,9 @@ def in_city_with_centroids(df: DataFrame) -> DataFrame:
 
 def typed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """Cast, keep the mapped columns only, and take NaN for missing."""
-    out = cast_frame(df, mapping).select(*mapping)
-    doubles = [c for c, kind in mapping.items() if kind == "double"]
-    return out.withColumns({c: finite(F.col(c)) for c in doubles})
+    numeric = {c for c, kind in df.dtypes if kind in ("double", "float")}
+    doubles = [c for c, kind in mapping.items() if kind == "double" and c in numeric]
+    return cast_frame(df.withColumns({c: finite(F.col(c)) for c in doubles}), mapping).select(*mapping)
 
 
 def extract_trips(

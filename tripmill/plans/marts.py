@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.instants import day_of_week, hour_trunc, month_of, start_hour
 from tripmill.operators.asof import asof_nearest
-from tripmill.operators.counts import active_rows, recent_rows
+from tripmill.operators.counts import active_and_recent_rows
 from tripmill.operators.slices import time_cuts
 
 
@@ -60,9 +60,11 @@ def trips_enriched(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weat
 
 def window_features(trips: DataFrame) -> DataFrame:
     """Adds ``active_trips_total`` and ``trips_from_pickup_loc_last_30m``."""
-    cuts = time_cuts([(trips, F.col("trip_start_timestamp"))])
-    counted = active_rows(trips, "trip_start_timestamp", "trip_end_timestamp", "active_trips_total", cuts)
-    return recent_rows(counted, "pickup_location_id", "trip_start_timestamp", "trips_from_pickup_loc_last_30m", cuts=cuts)
+    start, end, place = "trip_start_timestamp", "trip_end_timestamp", "pickup_location_id"
+    cuts = time_cuts([(trips, F.col(start))])
+    return active_and_recent_rows(
+        trips, start, end, place, "active_trips_total", "trips_from_pickup_loc_last_30m", cuts
+    )
 
 
 TRIP_COLUMNS = [
