@@ -14,35 +14,37 @@ from tripmill.functions.instants import after, before
 from tripmill.operators.slices import SLICE, time_cuts, with_slice
 
 
-def counts_up_to(events: DataFrame, probes: DataFrame, by: list[str], cuts: list[float] | None = None) -> DataFrame:
+def counts_up_to(
+    events: DataFrame, probes: DataFrame | None, by: list[str], cuts: list[float] | None = None
+) -> DataFrame:
     """For each distinct probe ``(*by, t)``: the number of events of the same ``by`` at or before ``t``.
 
-    Both frames hold the columns ``by`` (never null) and ``t``. Null instants are left out.
+    Both frames hold the columns ``by`` (never null) and ``t``. Null instants are left out. Without
+    ``probes`` the events ask for themselves.
     """
     keys = [*by, "t"]
     events = events.select(*keys).where("t IS NOT NULL")
-    probes = probes.select(*keys).where("t IS NOT NULL")
     if cuts is None:
         cuts = time_cuts([(events, F.col("t"))])
-    points = (
-        events.select(*keys, F.lit(1).alias("one"), F.lit(0).alias("asked"))
-        .unionAll(probes.select(*keys, F.lit(0).alias("one"), F.lit(1).alias("asked")))
-        .groupBy(*keys)
-        .agg(F.sum("one").alias("n"), F.max("asked").alias("asked"))
-    )
-    points = with_slice(points, F.col("t"), cuts)
+    marked = events.select(*keys, F.lit(1).alias("one"), F.lit(probes is None).alias("asked"))
+    if probes is not None:
+        asked = probes.select(*keys, F.lit(0).alias("one"), F.lit(True).alias("asked")).where("t IS NOT NULL")
+        marked = marked.unionAll(asked)
+    points = with_slice(marked.groupBy(*keys).agg(F.sum("one").alias("n"), F.max("asked").alias("asked")), F.col("t"), cuts)
     groups = [*by, SLICE]
     inside = Window.partitionBy(*groups).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    # One row per (by, slice): the only ordered step that spans slices.
+    # What the earlier slices hold. Counted straight from the rows, which combine to a row per
+    # (by, slice) before they move; the window over those is the only ordered step that spans slices.
     earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     totals = (
-        points.groupBy(*groups)
-        .agg(F.sum("n").alias("n"))
+        with_slice(marked, F.col("t"), cuts)
+        .groupBy(*groups)
+        .agg(F.sum("one").alias("n"))
         .select(*groups, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_earlier"))
     )
     return (
         points.withColumn("n", F.sum("n").over(inside))
-        .where("asked = 1")
+        .where("asked")
         .join(totals, groups)
         .select(*keys, (F.col("n") + F.col("n_earlier")).alias("n_le"))
     )
@@ -62,7 +64,7 @@ def _whole_table_if_null(df: DataFrame, name: str, t: str) -> Column:
 
 def _started_counts(df: DataFrame, start: str, name: str, cuts: list[float] | None) -> DataFrame:
     points = df.select(F.col(start).alias("t"))
-    return counts_up_to(points, points, [], cuts).withColumnRenamed("n_le", name)
+    return counts_up_to(points, None, [], cuts).withColumnRenamed("n_le", name)
 
 
 def _ended_counts(df: DataFrame, end: str, name: str, cuts: list[float] | None) -> DataFrame:
