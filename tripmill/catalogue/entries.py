@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.catalogue import testdata as td
-from tripmill.catalogue.oracle import CTES, END, NUMBER, START, _inside, _lat3, _utm, sql
+from tripmill.catalogue.oracle import CTES, END, NUMBER, START, _utm, sql
 from tripmill.functions import instants, places, typing
 from tripmill.functions.geometry import utm16n, wkt_point, wkt_rectangle
 from tripmill.operators import checks, counts
 from tripmill.operators.asof import asof_nearest
 from tripmill.operators.nearest import euclid, nearest_site
-from tripmill.operators.spatial import join_within, outside_of, polygon_areas, polygon_edges, within_pairs
+from tripmill.operators.spatial import join_within, polygon_areas, polygon_edges, within_pairs
 from tripmill.operators.upsert import upsert
 from tripmill.operators.zones import voronoi_zones
 from tripmill.plans import dims, extracts, facts, jobs, marts
@@ -50,10 +50,10 @@ locations, regions, zones, mapped = stored("locations"), stored("regions"), stor
 invalid, boundary, enriched = stored("invalid"), stored("boundary"), stored("enriched")
 
 
-def _warehouse(spark: SparkSession, name: str) -> Warehouse:
+def _warehouse(spark: SparkSession, name: str, *tables: str) -> Warehouse:
     folder = new_folder(spark, name)
     wh = Warehouse(spark, folder, prefix=f"w{folder[-8:]}_")
-    wh.create()
+    wh.create(*tables)
     return wh
 
 
@@ -131,14 +131,14 @@ _TRAFFIC_OUT = ["record_id", "time", "region_id", "speed", "region", "bus_count"
 
 @query("snk_append_schema_match", _STAGED_TRAFFIC)
 def snk_append_schema_match(spark, sf):
-    wh = _warehouse(spark, "append")
+    wh = _warehouse(spark, "append", "staging.stg_raw_traffic")
     wh.append("staging.stg_raw_traffic", td.staged_traffic(spark, sf).withColumn("hour", F.hour("time")))
     return wh.read("staging.stg_raw_traffic").select(*_TRAFFIC_OUT)
 
 
 @query("snk_append_key_check", f"SELECT *, true AS second_load_refused FROM ({_STAGED_TRAFFIC})")
 def snk_append_key_check(spark, sf):
-    wh = _warehouse(spark, "append")
+    wh = _warehouse(spark, "append", "staging.stg_raw_traffic")
     rows = td.staged_traffic(spark, sf)
     wh.append("staging.stg_raw_traffic", rows)
     try:
@@ -151,7 +151,7 @@ def snk_append_key_check(spark, sf):
 
 @query("snk_replace", "SELECT location_id, region_id, station_id, batch_id FROM mapped WHERE region_id IS NOT NULL")
 def snk_replace(spark, sf):
-    wh = _warehouse(spark, "replace")
+    wh = _warehouse(spark, "replace", "dim_spatial.mapped_locations")
     wh.replace("dim_spatial.mapped_locations", mapped(spark, sf))
     wh.replace("dim_spatial.mapped_locations", wh.read("dim_spatial.mapped_locations").where("region_id IS NOT NULL"))
     return wh.read("dim_spatial.mapped_locations").select("location_id", "region_id", "station_id", "batch_id")
@@ -508,7 +508,7 @@ def upsert_fact_trips(spark, sf):
 @query("upsert_fact_trips_stored", _UPSERTED_TRIPS)
 def upsert_fact_trips_stored(spark, sf):
     """The same merge into a table partitioned by day; changed rows move to their new day."""
-    wh, trips = _warehouse(spark, "facts"), fact_trips(spark, sf)
+    wh, trips = _warehouse(spark, "facts", "fact_tables.fact_trips"), fact_trips(spark, sf)
     wh.upsert("fact_tables.fact_trips", trips.where(_STORED))
     wh.upsert("fact_tables.fact_trips", _trip_batch(trips))
     return wh.read("fact_tables.fact_trips").drop("created_at", "event_date")
@@ -952,7 +952,7 @@ _CITY_AREA = (
 )
 def city_boundary_table(spark, sf):
     """The one-row boundary, joined to every location inside it."""
-    city = dims.city_boundary_table(td.city_polygons(spark))
+    city = boundary(spark, sf)
     inside = within_pairs(locations(spark, sf), "location_id", city, "boundary_id")
     return inside.join(city, "boundary_id").select("location_id", "city_name", "area_km2", "crs")
 
@@ -1052,7 +1052,7 @@ def geo_crs_check(spark, sf):
 
 @query("mart_hourly_pickup", _HOURLY)
 def mart_hourly_pickup(spark, sf):
-    wh = _warehouse(spark, "hourly")
+    wh = _warehouse(spark, "hourly", "datamarts.dm_trips_hourly_pickup_stats")
     wh.replace("datamarts.dm_trips_hourly_pickup_stats", marts.hourly_pickup(fact_trips(spark, sf)))
     return _rounded(wh.read("datamarts.dm_trips_hourly_pickup_stats"))
 

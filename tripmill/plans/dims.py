@@ -185,11 +185,12 @@ def city_boundary_table(polygons: DataFrame, city_name: str = "Chicago", source_
     require_rows(landed, "city boundary")
     merged = landed.groupBy("boundary_id").agg(F.flatten(F.array_sort(F.collect_list(parts))).alias("parts"))
     whole = merged.select("boundary_id", wkt_of_parts("parts").alias("geometry_wkt"))
-    return whole.join(polygon_areas(whole, "boundary_id"), "boundary_id").select(
+    area = polygon_areas(whole, "boundary_id").select("km2").scalar()
+    return whole.select(
         "boundary_id",
         F.lit(city_name).alias("city_name"),
         "geometry_wkt",
-        F.bround("km2", 2).cast("decimal(10,2)").alias("area_km2"),
+        F.bround(area, 2).cast("decimal(10,2)").alias("area_km2"),
         F.lit(CRS).alias("crs"),
         F.lit(source_url).cast("string").alias("source_url"),
     )

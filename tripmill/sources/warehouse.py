@@ -32,10 +32,11 @@ class Warehouse:
 
     # -- definition ---------------------------------------------------------------------------
 
-    def create(self) -> None:
+    def create(self, *tables: str) -> None:
+        """Schemas and tables that do not exist yet; all tables if none are named."""
         for schema in SCHEMAS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{schema}")
-        for table in TABLES:
+        for table in tables or TABLES:
             if not self.spark.catalog.tableExists(self.name(table)):
                 self._define(table, self._folder(table))
 
