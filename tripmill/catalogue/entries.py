@@ -618,13 +618,15 @@ def derive_duration_minutes(spark, sf):
 
 _HOURLY = """
     SELECT date_trunc('hour', trip_start_timestamp) AS trip_hour, pickup_community_area, count(trip_id) AS total_trips,
-        round(avg(rate_per_mile), 8) AS avg_rate_per_mile, round(avg(duration_minutes), 8) AS avg_duration_minutes
+        floor(avg(rate_per_mile) * 1e8::DOUBLE + 0.5::DOUBLE) / 1e8::DOUBLE AS avg_rate_per_mile,
+        floor(avg(duration_minutes) * 1e8::DOUBLE + 0.5::DOUBLE) / 1e8::DOUBLE AS avg_duration_minutes
     FROM fact_trips WHERE pickup_community_area IS NOT NULL GROUP BY 1, 2"""
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Averages to eight places: their last digits depend on the order of the additions."""
-    return df.withColumns({c: F.round(c, 8) for c in ("avg_rate_per_mile", "avg_duration_minutes")})
+    """Averages to eight places, halves up: their last digits depend on the order of the additions."""
+    places_ = {c: F.expr(f"floor({c} * 1e8D + 0.5D) / 1e8D") for c in ("avg_rate_per_mile", "avg_duration_minutes")}
+    return df.withColumns(places_)
 
 
 @query("agg_hourly_pickup", _HOURLY)
