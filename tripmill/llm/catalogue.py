@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from tripmill.llm import exact_dedup, mixing
+import public_tokenizers
+
+from tripmill.llm import exact_dedup, mixing, packing, quality, toxicity
 from tripmill.llm.common import table
 
+#: A public tokenizer installed beside Python on every machine, and its pattern of words.
+TOKENIZER, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+
+
+def op1_quality_rules(spark, sf):
+    return quality.judge(table(spark, sf, "documents"))
+
+
+def op4_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), TOKENIZER, PATTERN)
+
+
+def op5_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf, "labels")))
+
 
 def op6_exact_dedup(spark, sf):
     return exact_dedup.report(table(spark, sf, "documents"))
@@ -14,5 +32,9 @@ def op7_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op7_mixing)}
-ORACLES = {"op6_exact_dedup": exact_dedup.ORACLE, "op7_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_best_fit_packing, op5_toxicity, op6_exact_dedup, op7_mixing)}
+ORACLES = {
+    "op1_quality_rules": quality.ORACLE,
+    "op6_exact_dedup": exact_dedup.ORACLE,
+    "op7_mixing": mixing.ORACLE,
+}

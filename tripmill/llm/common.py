@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +46,23 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     cold_rows = rows.join(F.broadcast(names), F.col(key) == F.col("_hot"), "left_anti")
     cold = cold_rows.join(groups.where(F.col(size) <= least), key)
     return cold.unionByName(rows.join(F.broadcast(hot), key))
+
+
+def per_text(fn: Callable[[str | None], tuple], keep: list[str], names: Iterable[str]):
+    """For ``mapInArrow``: the columns ``keep`` as they are, and what ``fn`` makes of each text.
+
+    ``fn`` returns one value per name. Ids stay Arrow columns, so that nulls do not turn them to floats.
+    """
+    names = list(names)
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for at in range(0, part.num_rows, 500):
+                rows = part.slice(at, 500)
+                made = [fn(x.as_py()) for x in rows.column("text")]
+                columns = list(zip(*made, strict=True)) or [[] for _ in names]
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(k) for k in keep] + [pa.array(c) for c in columns], names=keep + names
+                )
+
+    return batches
