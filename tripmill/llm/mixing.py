@@ -25,7 +25,7 @@ SHARE, LIMIT = 1.5, 2
 SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.05
 #: About so many documents are ordered by one task at a time.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 
 
 def words(text: Column) -> Column:
