@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import exact_dedup, mixing, packing, quality, toxicity
+from tripmill.llm import exact_dedup, jaccard, mixing, packing, quality, toxicity
 from tripmill.llm.common import table
 
 #: A public tokenizer installed beside Python on every machine, and its pattern of words.
@@ -15,6 +15,10 @@ def op1_quality_rules(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
 
 
+def op3_jaccard_join(spark, sf):
+    return jaccard.classes(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), TOKENIZER, PATTERN)
 
@@ -32,7 +36,7 @@ def op7_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op4_best_fit_packing, op5_toxicity, op6_exact_dedup, op7_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_jaccard_join, op4_best_fit_packing, op5_toxicity, op6_exact_dedup, op7_mixing)}
 ORACLES = {
     "op1_quality_rules": quality.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
