@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import exact_dedup, jaccard, mixing, packing, quality, toxicity
+from tripmill.llm import exact_dedup, html_text, jaccard, language, mixing, packing, quality, token_counts, toxicity
 from tripmill.llm.common import table
 
 #: A public tokenizer installed beside Python on every machine, and its pattern of words.
@@ -36,7 +36,33 @@ def op7_mixing(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_jaccard_join, op4_best_fit_packing, op5_toxicity, op6_exact_dedup, op7_mixing)}
+def op8_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+def op9_html_extraction(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+def op10_token_counts(spark, sf):
+    return token_counts.count(table(spark, sf, "documents"), TOKENIZER, PATTERN)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_jaccard_join,
+        op4_best_fit_packing,
+        op5_toxicity,
+        op6_exact_dedup,
+        op7_mixing,
+        op8_language_id,
+        op9_html_extraction,
+        op10_token_counts,
+    )
+}
 ORACLES = {
     "op1_quality_rules": quality.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
