@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import exact_dedup, html_text, jaccard, language, mixing, packing, quality, token_counts, toxicity
+from tripmill.llm import exact_dedup, html_text, jaccard, language, lm_scoring, mixing, packing, quality, token_counts, toxicity
 from tripmill.llm.common import table
 
 #: A public tokenizer installed beside Python on every machine, and its pattern of words.
@@ -15,6 +15,10 @@ def op1_quality_rules(spark, sf):
     return quality.judge(table(spark, sf, "documents"))
 
 
+def op2_lm_scoring(spark, sf):
+    return lm_scoring.score_corpus(table(spark, sf, "documents"))
+
+
 def op3_jaccard_join(spark, sf):
     return jaccard.classes(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -53,6 +57,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_lm_scoring,
         op3_jaccard_join,
         op4_best_fit_packing,
         op5_toxicity,

@@ -35,10 +35,12 @@ RAW = frozenset("script style textarea title noscript iframe".split())
 #: An opening tag of the first ends an open element of the second.
 ENDS = {"p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "td": "td th", "th": "td th", "tr": "tr td th", "option": "option"}
 
+FRAME = frozenset(("html", "body", "main", "article"))
+
 #: Classifier: log-odds for content of elements, and of words in class, id and role.
 TAG_COST = {
-    "article": 4.0, "main": 3.0, "nav": -6.0, "footer": -6.0, "aside": -5.0, "header": -3.0, "form": -5.0, "fieldset": -5.0, "menu": -5.0,
-    "dialog": -5.0, "address": -2.0, "p": 0.7, "h1": 1.0, "h2": 0.7, "h3": 0.5, "blockquote": 0.7, "pre": 0.7, "table": 0.0, "li": -0.5,
+    "article": 4.0, "main": 3.0, "nav": -7.0, "footer": -7.0, "aside": -7.0, "header": -3.0, "form": -7.0, "fieldset": -7.0, "menu": -7.0,
+    "dialog": -7.0, "address": -2.0, "p": 0.7, "h1": 1.0, "h2": 0.7, "h3": 0.5, "blockquote": 0.7, "pre": 0.7, "table": 0.0, "li": -0.5,
     "td": -0.2, "figcaption": 0.3, "label": -3.0, "legend": -3.0,
 }
 GOOD = "article content post story entry main text body page-content prose"
@@ -48,9 +50,9 @@ BAD = (
     "search form share sharing social related recommended comments comment reply replies disqus respond discussion reader pager pagination "
     "copyright legal toolbar skip hidden tags meta byline"
 )
-GOOD_COST, BAD_COST = 2.5, -5.0
+GOOD_COST, BAD_COST = 2.5, -7.0
 CLASS_COST = {w: GOOD_COST for w in GOOD.split()} | {w: BAD_COST for w in BAD.split()}
-ROLE_COST = {"navigation": -6.0, "banner": -4.0, "contentinfo": -6.0, "complementary": -5.0, "search": -5.0, "form": -5.0, "alert": -5.0, "main": 3.0, "article": 4.0}
+ROLE_COST = {"navigation": -7.0, "banner": -4.0, "contentinfo": -7.0, "complementary": -7.0, "search": -7.0, "form": -7.0, "alert": -7.0, "main": 3.0, "article": 4.0}
 #: Classifier: start, a word (up to WORDS), a sentence mark (up to MARKS), the share of linked characters.
 START, WORD_COST, WORDS, MARK_COST, MARKS, LINK_COST = -0.6, 0.03, 40, 0.25, 4, -4.0
 #: Capacity between neighbours in the page, and between neighbours of one container.
@@ -78,7 +80,9 @@ class Element:
         if attributes:
             for name, *values in _NAMES.findall(attributes):
                 known = ROLE_COST if name.lower() == "role" else CLASS_COST
-                own += [known.get(w, 0.0) for w in _PARTS.split("".join(values).lower())]
+                signs = [known.get(w, 0.0) for w in _PARTS.split("".join(values).lower())]
+                # Names on the page's frame tell of what it has somewhere, not of all its text.
+                own += [x for x in signs if x > 0 or tag not in FRAME]
         self.cost = max(good, *own), min(bad, *own)
 
 

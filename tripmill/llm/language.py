@@ -30,8 +30,8 @@ from tripmill.llm.common import held_out
 
 #: Bounds of learning: documents of a language, n-grams kept of a language.
 SAMPLE, NGRAMS = 400, 60_000
-#: Cost of a change of language, and the least log-probability of a word in a candidate language.
-SWITCH, LEAST = 6.0, -6.0
+#: Cost of a change of language, and the least log-probability of a word in a candidate language, and in others.
+SWITCH, LEAST, CLOSED = 6.0, -6.0, -30.0
 #: A language is a candidate for scripts with this share of its letters.
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
@@ -92,8 +92,9 @@ class Words:
     def __init__(self, model: dict, most: int = 400_000):
         self.langs, self.most = model["langs"], most
         self.grams = {g: i for i, g in enumerate(model["table"])}
+        none = len(self.grams)
         # The last row is for n-grams that are not in the table.
-        self.values = np.array([*model["table"].values(), [0.0] * len(self.langs)]).reshape(-1, len(self.langs))
+        self.values = np.array([*model["table"].values(), [0.0] * len(self.langs)]).reshape(none + 1, len(self.langs))
         known = sorted({x for own in model["scripts"] for x in own})
         self.open = {x: np.array([x in own for own in model["scripts"]]) for x in known}
         self.clear()
@@ -116,6 +117,7 @@ class Words:
         total[closed] = 0.0
         total -= total.max(axis=1, keepdims=True)
         total = np.maximum(total - np.log(np.exp(total).sum(axis=1, keepdims=True)), LEAST)
+        total[~is_open] = CLOSED
         total[closed] = 0.0
         return total
 
@@ -218,7 +220,8 @@ def train(docs: DataFrame) -> dict:
         model = learn(sorted(got)) if got else {"langs": [], "table": {}, "scripts": [], "shares": []}
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(model)])], names=["model"])
 
-    return json.loads(rows.repartition(1).mapInArrow(batches, "model string").first()["model"])
+    found = rows.repartition(1).mapInArrow(batches, "model string").first()
+    return json.loads(found["model"]) if found else {"langs": [], "table": {}, "scripts": [], "shares": []}
 
 
 def identify(docs: DataFrame, model: dict) -> DataFrame:

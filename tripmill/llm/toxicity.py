@@ -232,7 +232,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
         chosen = part if chosen is None else chosen.unionByName(part)
     chosen = chosen.select(F.col("doc_id").alias("s_id"), "toxic")
     # At most 2 * SAMPLE ids go to every task; the documents do not move.
-    rows = docs.where(F.col("text").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("s_id"))
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), F.col("doc_id") == F.col("s_id"))
     return rows.select("doc_id", "toxic", "text"), sizes.get(0, 0) / max(1, sizes.get(1, 0))
 
 
@@ -247,7 +247,8 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
                 found[key] = (label, text)  # a repeated id is one row to learn from
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(learn([found[k] for k in sorted(found)], ratio))])], names=["model"])
 
-    return json.loads(rows.repartition(1).sortWithinPartitions("doc_id", "text").mapInArrow(batches, "model string").first()["model"])
+    model = rows.repartition(1).sortWithinPartitions("doc_id", "text").mapInArrow(batches, "model string").first()
+    return json.loads(model["model"]) if model else learn([], ratio)
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
