@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from tripmill.operators import asof
+from tripmill.operators import slices
 from tripmill.operators.asof import asof_nearest
 
 T0 = dt.datetime(2024, 1, 1, 12)
@@ -15,10 +15,10 @@ def at(seconds, micros=0):
     return T0 + dt.timedelta(seconds=seconds, microseconds=micros)
 
 
-def run(spark, probes, readings, plan, **options):
+def run(spark, probes, readings, **options):
     left = spark.createDataFrame(probes, "id int, k string, t timestamp_ntz")
     right = spark.createDataFrame(readings, "rec string, k string, t timestamp_ntz, v double")
-    found = asof_nearest(left, right, "k", "t", "t", "rec", {"rec": "near", "v": "value"}, plan, **options)
+    found = asof_nearest(left, right, "k", "t", "t", "rec", {"rec": "near", "v": "value"}, **options)
     assert found.columns == ["id", "k", "t", "near", "value"]
     return {r["id"]: r["near"] for r in found.collect()}
 
@@ -31,8 +31,11 @@ def brute(probes, readings):
     return out
 
 
-@pytest.mark.parametrize("plan", ["index", "slices"])
-def test_edges(spark, plan):
+CUTS = [T0.replace(tzinfo=dt.UTC).timestamp() + s for s in (10, 120, 160, 900)]
+
+
+@pytest.mark.parametrize("cuts", [None, CUTS])
+def test_edges(spark, cuts):
     readings = [
         ("r10", "a", at(0), 1.0), ("r1", "a", at(100), 2.0), ("r0", "a", at(100), 3.0), ("r2", "a", at(200), 4.0),
         ("r9", "b", at(50), 5.0), ("r3", None, at(1), 6.0), ("r4", "a", None, 7.0),
@@ -46,13 +49,14 @@ def test_edges(spark, plan):
         (6, "b", at(10**7)),  # no tolerance
         (7, "c", at(0)), (8, None, at(0)), (9, "a", None),
     ]
-    got = run(spark, probes, readings, plan, **({"cuts": [T0.replace(tzinfo=dt.UTC).timestamp() + s for s in (10, 120, 160, 900)]} if plan == "slices" else {}))
+    got = run(spark, probes, readings, cuts=cuts)
     assert got == {0: "r0", 1: "r0", 2: "r2", 3: "r0", 4: "r10", 5: "r2", 6: "r9", 7: None, 8: None, 9: None}
 
 
-@pytest.mark.parametrize("plan", ["index", "slices"])
-def test_skewed_random_against_brute_force(spark, plan):
+@pytest.mark.parametrize("rows", [30, slices.SLICE_ROWS])
+def test_skewed_random_against_brute_force(spark, monkeypatch, rows):
     """One key holds most rows, one instant a third of the probes, and readings come in bursts."""
+    monkeypatch.setattr(slices, "SLICE_ROWS", rows)
     rng = random.Random(11)
 
     def when():
@@ -60,32 +64,27 @@ def test_skewed_random_against_brute_force(spark, plan):
 
     readings = [(f"r{i}", rng.choice("aaaaab"), when(), float(i)) for i in range(400)]
     probes = [(i, rng.choice("aaaaabc"), at(25) if i % 3 == 0 else when()) for i in range(900)]
-    assert run(spark, probes, readings, plan) == brute(probes, readings)
+    assert run(spark, probes, readings) == brute(probes, readings)
 
 
-def test_no_readings(spark):
-    for plan in ("index", "slices", None):
-        assert run(spark, [(0, "a", at(0))], [("r", "zz", at(0), 1.0)], plan) == {0: None}
+@pytest.mark.parametrize("n", [2, 3, 40])
+def test_bursts_of_microseconds(spark, n):
+    """Readings that span fewer microseconds than there are readings, asked long before and after."""
+    readings = [(f"r{i}", "a", at(0, i % 3), 0.0) for i in range(n)]
+    probes = [(0, "a", at(100)), (1, "a", at(-100)), (2, "a", at(0, 1)), (3, "a", at(0, 7))]
+    assert run(spark, probes, readings) == brute(probes, readings)
 
 
-def test_size_decides_the_plan(spark, monkeypatch):
-    readings = [(f"r{i}", "a", at(i), 0.0) for i in range(50)] + [("far", "a", at(10**6), 0.0)]
-    right = spark.createDataFrame(readings, "rec string, k string, t timestamp_ntz, v double")
-    one = asof._one_per_instant(right, "k", "t", "rec", ["v"])
-    assert asof._fits_index(one)
-    monkeypatch.setattr(asof, "INDEX_CELL_ROWS", 10)  # the first cell holds fifty
-    assert not asof._fits_index(one)
-    monkeypatch.setattr(asof, "INDEX_CELL_ROWS", 100)
-    monkeypatch.setattr(asof, "INDEX_ROWS", 20)
-    assert not asof._fits_index(one)
-
-
-def test_index_plan_does_not_shuffle_the_left_side(spark):
-    left = spark.createDataFrame([(1, "a", at(0))], "id int, k string, t timestamp_ntz")
-    right = spark.createDataFrame([("r", "a", at(0), 1.0)], "rec string, k string, t timestamp_ntz, v double")
-    found = asof_nearest(left, right, "k", "t", "t", "rec", {"v": "value"}, "index")
-    found.collect()
-    text = found._jdf.queryExecution().executedPlan().toString()
-    # Down the probe side of both joins there is nothing but broadcast joins, projections and the scan.
-    probe_side = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
-    assert len(probe_side) >= 2 and "SortMergeJoin" not in text.split("BroadcastQueryStage")[0]
+def test_no_readings(spark):
+    assert run(spark, [(0, "a", at(0))], [("r", "zz", at(0), 1.0)]) == {0: None}
+
+
+def test_cuts_follow_the_rows(spark):
+    """A third of the rows within one second of a year: its slices are cut as finely as its rows need."""
+    times = [(at(i * 30_000),) for i in range(1000)] + [(at(77, i * 2000),) for i in range(500)] + [(at(5),)] * 300
+    df = spark.createDataFrame(times, "t timestamp_ntz")
+    cuts = slices.time_cuts([(df, df["t"])], rows=50)
+    held = slices.with_slice(df, df["t"], cuts).groupBy(slices.SLICE, "t").count().groupBy(slices.SLICE).agg({"count": "max", "*": "count"}).collect()
+    assert cuts == sorted(set(cuts)) and len(cuts) > 20
+    assert all(r["count(1)"] <= 50 for r in held)
+    assert slices.time_cuts([(df.limit(0), df["t"])]) == []

@@ -82,6 +82,16 @@ def test_booleans_and_numbers_that_are_not_text(spark):
     df = spark.createDataFrame([(True, 1, 2.5)], "b boolean, n int, d double")
     out = df.select(typing.cast_bool_map(F.col("b")), typing.cast_bool_map(F.col("n")), typing.cast_int_rounded(F.col("d")))
     assert tuple(out.first()) == (True, True, 2)
+    doubles = spark.createDataFrame([(1.0, "1.0"), (0.0, "0.0"), (-0.0, "x"), (0.5, "1")], "d double, s string")
+    got = [tuple(r) for r in doubles.select(typing.cast_bool_map(F.col("d")), typing.cast_bool_map(F.col("s"))).collect()]
+    assert got == [(True, None), (False, None), (False, None), (None, True)]
+
+
+def test_whole_numbers_keep_their_digits(spark):
+    values = ["9007199254740993", " -9007199254740993 ", "9223372036854775807", "9223372036854775808", "+7", "1e3"]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(typing.cast_int_rounded(F.col("v"))).collect()]
+    assert got == [9007199254740993, -9007199254740993, 9223372036854775807, None, 7, 1000]
 
 
 def test_missing_and_unmapped_columns(spark, caplog):

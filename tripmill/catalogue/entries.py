@@ -67,17 +67,22 @@ _RAW_TRIPS = f"""
         CASE WHEN e % 103 = 0 THEN 'abc' ELSE (v * 10)::VARCHAR END AS trip_seconds,
         CASE WHEN e % 109 = 0 THEN 'maybe' WHEN e % 19 <> 0 THEN (e % 2 = 0)::VARCHAR END AS shared_trip_authorized,
         CASE WHEN e % 107 = 0 THEN '12.xx' WHEN e % 31 <> 0 THEN (v / 4)::VARCHAR END AS fare,
-        CASE WHEN e % 17 <> 0 THEN (u % 77 + 1)::VARCHAR END AS pickup_community_area
-    FROM e"""
+        CASE WHEN e % 17 <> 0 THEN (u % 77 + 1)::VARCHAR END AS pickup_community_area,
+        CASE WHEN e % 29 <> 0 THEN rtrim(rtrim(strftime(ts + to_microseconds(CAST(round(v * 1e7) AS BIGINT)),
+            '%Y-%m-%dT%H:%M:%S.%f'), '0'), '.') END AS trip_end_timestamp,
+        trip_miles::VARCHAR AS trip_miles, percent_time_chicago::VARCHAR AS percent_time_chicago,
+        percent_distance_chicago::VARCHAR AS percent_distance_chicago, trips_pooled::VARCHAR AS trips_pooled,
+        pickup_centroid_location, dropoff_centroid_location, dropoff_community_area::VARCHAR AS dropoff_community_area,
+        tip::VARCHAR AS tip, additional_charges::VARCHAR AS additional_charges, trip_total::VARCHAR AS trip_total
+    FROM e JOIN (SELECT trip_id AS id, * EXCLUDE (trip_id, trip_start_timestamp, trip_end_timestamp, trip_seconds, fare,
+        shared_trip_authorized, pickup_community_area) FROM centroid_trips) ON id = sha1(e::VARCHAR)"""
 
 
 @query("src_json_records", _RAW_TRIPS)
 def src_json_records(spark, sf):
     folder = new_folder(spark, "landed-trips")
     td.raw_trips(spark, sf).write.json(folder)
-    return landing.read_records(spark, folder, landing.TRIP_FIELDS).select(
-        "trip_id", "trip_start_timestamp", "trip_seconds", "shared_trip_authorized", "fare", "pickup_community_area"
-    )
+    return landing.read_records(spark, folder, landing.TRIP_FIELDS)
 
 
 @query(
@@ -92,9 +97,9 @@ def src_weather_json(spark, sf):
     return landing.read_weather(spark, folder)
 
 
-@query("src_parquet", "SELECT event_id, ts, user_id, event_type, value FROM events")
+@query("src_parquet", "SELECT * FROM events")
 def src_parquet(spark, sf):
-    return landing.read_extract(spark, f"{sf}/events.parquet").drop("props")
+    return landing.read_extract(spark, f"{sf}/events.parquet")
 
 
 _TRIP_COLUMNS = ", ".join(TRIPS)
@@ -149,11 +154,11 @@ def snk_append_key_check(spark, sf):
     return wh.read("staging.stg_raw_traffic").select(*_TRAFFIC_OUT, F.lit(refused).alias("second_load_refused"))
 
 
-@query("snk_replace", "SELECT location_id, region_id, station_id, batch_id FROM mapped WHERE region_id IS NOT NULL")
+@query("snk_replace", "SELECT location_id, coalesce(region_id, 0) AS region_id, station_id, batch_id FROM mapped")
 def snk_replace(spark, sf):
     wh = _warehouse(spark, "replace", "dim_spatial.mapped_locations")
     wh.replace("dim_spatial.mapped_locations", mapped(spark, sf))
-    wh.replace("dim_spatial.mapped_locations", wh.read("dim_spatial.mapped_locations").where("region_id IS NOT NULL"))
+    wh.replace("dim_spatial.mapped_locations", wh.read("dim_spatial.mapped_locations").na.fill(0, ["region_id"]))
     return wh.read("dim_spatial.mapped_locations").select("location_id", "region_id", "station_id", "batch_id")
 
 
@@ -278,7 +283,7 @@ def asof_nearest_traffic(spark, sf):
 
 @query("asof_nearest_traffic_sliced", f"SELECT {', '.join(_TRAFFIC_COLUMNS)} FROM enriched")
 def asof_nearest_traffic_sliced(spark, sf):
-    return marts.nearest_traffic(_placed_trips(spark, sf), fact_traffic(spark, sf), plan="slices").select(*_TRAFFIC_COLUMNS)
+    return marts.nearest_traffic(_placed_trips(spark, sf), fact_traffic(spark, sf)).select(*_TRAFFIC_COLUMNS)
 
 
 @query("asof_nearest_weather", f"SELECT {', '.join(_WEATHER_COLUMNS)} FROM enriched")
@@ -288,7 +293,7 @@ def asof_nearest_weather(spark, sf):
 
 @query("asof_nearest_weather_sliced", f"SELECT {', '.join(_WEATHER_COLUMNS)} FROM enriched")
 def asof_nearest_weather_sliced(spark, sf):
-    return marts.nearest_weather(_placed_trips(spark, sf), fact_weather(spark, sf), plan="slices").select(*_WEATHER_COLUMNS)
+    return marts.nearest_weather(_placed_trips(spark, sf), fact_weather(spark, sf)).select(*_WEATHER_COLUMNS)
 
 
 @query(
@@ -308,6 +313,22 @@ def asof_nearest_event(spark, sf):
     return found.select("event_id", "nearest_event_id", "nearest_value")
 
 
+@query(
+    "asof_nearest_burst",
+    """WITH r AS (SELECT event_id AS rec, user_id % 7 AS k, TIMESTAMP '2024-01-01 12:00:00' + to_microseconds(event_id % 50) AS t
+           FROM events WHERE event_id % 2 = 0)
+       SELECT p.event_id, n.rec AS nearest_event_id FROM events p LEFT JOIN LATERAL (
+           SELECT * FROM r WHERE r.k = p.user_id % 7 ORDER BY abs(epoch_us(p.ts) - epoch_us(r.t)), r.t, r.rec LIMIT 1) n ON TRUE""",
+)
+def asof_nearest_burst(spark, sf):
+    """Readings that lie microseconds apart, and all events as probes long before and after them."""
+    events = td.table(spark, sf, "events")
+    at = F.expr("timestamp_ntz'2024-01-01 12:00:00' + make_dt_interval(0, 0, 0, cast(event_id % 50 AS decimal(18, 6)) / 1000000)")
+    burst = events.where("event_id % 2 = 0").select(F.col("event_id").alias("rec"), (F.col("user_id") % 7).alias("k"), at.alias("t"))
+    probes = events.select("event_id", (F.col("user_id") % 7).alias("k"), "ts")
+    return asof_nearest(probes, burst, "k", "ts", "t", "rec", {"rec": "nearest_event_id"}).select("event_id", "nearest_event_id")
+
+
 @query(
     "join_left_mart",
     """SELECT t.trip_id, t.fare, n.traffic_speed, n.weather_temp FROM staged_trips t LEFT JOIN enriched n USING (trip_id)""",
@@ -425,16 +446,11 @@ def dim_regions_build(spark, sf):
     return dims.regions_build(td.boxed_traffic(spark, sf)).select(*_REGION_COLUMNS.split(", "))
 
 
-@query(
-    "dim_regions_update",
-    f"SELECT {_REGION_COLUMNS} FROM regions",
-    regions=CTES["regions"].replace(
-        "FROM raw_traffic WHERE west IS NOT NULL", "FROM raw_traffic WHERE west IS NOT NULL AND time IS NOT NULL"
-    ),
-)
+@query("dim_regions_update", f"SELECT {_REGION_COLUMNS} FROM regions")
 def dim_regions_update(spark, sf):
-    traffic = td.boxed_traffic(spark, sf).where("time IS NOT NULL")
-    early, late = traffic.where("time < TIMESTAMP_NTZ'2024-01-02'"), traffic.where("time >= TIMESTAMP_NTZ'2024-01-02'")
+    """The dimension of the first day's readings, extended by all others, those without a time included."""
+    traffic, first = td.boxed_traffic(spark, sf), "coalesce(time < TIMESTAMP_NTZ'2024-01-02', false)"
+    early, late = traffic.where(first), traffic.where(f"NOT {first}")
     return dims.regions_update(dims.regions_build(early), late).select(*_REGION_COLUMNS.split(", "))
 
 
@@ -457,9 +473,10 @@ def dim_regions_export(spark, sf):
     return dims.regions_export(dims.regions_build(td.boxed_traffic(spark, sf)), "b1")
 
 
-# A stored table and a later batch of changed rows, split by a digit of the trip id.
+# A stored table and a later batch of changed and new rows, split by digits of the trip id: every row is
+# in one of them or in both.
 _STORED = "substring(trip_id, 1, 1) NOT IN ('0', '1', '2', '3')"
-_BATCH = "substring(trip_id, 2, 1) < '8'"
+_BATCH = f"(substring(trip_id, 2, 1) < '8' OR NOT {_STORED})"
 _KEPT = (
     "percent_time_chicago, percent_distance_chicago, pickup_community_area, dropoff_community_area, "
     "additional_charges, pickup_location_id, dropoff_location_id"
@@ -515,7 +532,7 @@ def upsert_fact_trips_stored(spark, sf):
 
 
 _TRAFFIC_SPLIT = "CAST(record_id AS INT) % 3 <> 0"
-_TRAFFIC_BATCH = "CAST(record_id AS INT) % 2 = 0"
+_TRAFFIC_BATCH = "(CAST(record_id AS INT) % 2 = 0 OR CAST(record_id AS INT) % 3 = 0)"
 
 
 @query(
@@ -540,13 +557,13 @@ def upsert_fact_traffic(spark, sf):
     _merged_sql(
         "SELECT * FROM fact_weather WHERE station_id <> 'Estacion_A'",
         """SELECT * REPLACE (temp - 10 AS temp, datetime + INTERVAL 1 DAY AS datetime, 'Fog' AS conditions, 'b1' AS batch_id)
-           FROM fact_weather WHERE day(datetime) > 10""",
+           FROM fact_weather WHERE day(datetime) > 10 OR station_id = 'Estacion_A'""",
         "record_id", "temp, feelslike, precipprob, windspeed, winddir, conditions, batch_id", "datetime, station_id",
     ),
 )
 def upsert_fact_weather(spark, sf):
     rows = fact_weather(spark, sf)
-    batch = rows.where("day(datetime) > 10").withColumns(
+    batch = rows.where("day(datetime) > 10 OR station_id = 'Estacion_A'").withColumns(
         {
             "temp": col("temp") - 10,
             "datetime": instants.after(col("datetime"), "86400"),
@@ -727,13 +744,15 @@ def cast_timestamp(spark, sf):
 @query(
     "cast_int_rounded",
     """SELECT record_id, CAST(bus_count AS BIGINT) AS bus_count,
-        CAST(round_even(east, 0) AS BIGINT) AS east FROM raw_traffic""",
+        CAST(round_even(east, 0) AS BIGINT) AS east, 9007199254740993 + 1000 * CAST(record_id AS BIGINT) AS long_number FROM raw_traffic""",
 )
 def cast_int_rounded(spark, sf):
     return td.raw_traffic(spark, sf).select(
         "record_id",
         typing.cast_int_rounded(col("bus_count")).alias("bus_count"),
         typing.cast_int_rounded(col("east")).alias("east"),
+        # Text of whole numbers that no double holds.
+        typing.cast_int_rounded((F.lit(9007199254740993) + 1000 * col("record_id").cast("bigint")).cast("string")).alias("long_number"),
     )
 
 
@@ -757,7 +776,8 @@ def cast_double(spark, sf):
     "cast_bool_map",
     """SELECT trip_id, shared_trip_authorized,
         CASE e % 8 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true WHEN 3 THEN false WHEN 4 THEN false
-            WHEN 5 THEN false END AS worded
+            WHEN 5 THEN false END AS worded,
+        CASE e % 3 WHEN 0 THEN false WHEN 1 THEN true END AS numbered
        FROM staged_trips JOIN (SELECT sha1(e::VARCHAR) AS trip_id, e FROM e) USING (trip_id)""",
 )
 def cast_bool_map(spark, sf):
@@ -769,6 +789,7 @@ def cast_bool_map(spark, sf):
         "trip_id",
         typing.cast_bool_map(col("shared_trip_authorized")).alias("shared_trip_authorized"),
         typing.cast_bool_map(F.get(words, (col("event_id") % 8).cast("int"))).alias("worded"),
+        typing.cast_bool_map((col("event_id") % 3).cast("double")).alias("numbered"),
     )
 
 
@@ -1024,7 +1045,7 @@ def check_foreign_key(spark, sf):
 
 @query(
     "check_nonempty_extract",
-    f"""SELECT trip_id FROM centroid_trips WHERE trip_start_timestamp BETWEEN {START} AND {END} AND trip_id LIKE '%a0'
+    f"""SELECT trip_id FROM centroid_trips WHERE trip_start_timestamp BETWEEN {START} AND {END}
         AND percent_time_chicago = 1 AND pickup_centroid_location IS NOT NULL""",
 )
 def check_nonempty_extract(spark, sf):
@@ -1110,25 +1131,25 @@ def _extracted(last: str) -> dict[str, str]:
     }
 
 
-@query("pipe_coldstart", "SELECT * FROM ml_base", **_extracted("TIMESTAMP '2024-01-21'"))
+@query("pipe_coldstart", "SELECT * FROM ml_base", **_extracted("TIMESTAMP '2024-01-31'"))
 def pipe_coldstart(spark, sf):
     wh = _warehouse(spark, "coldstart")
     jobs.coldstart(
         wh, _landed(spark, sf), dims.default_stations(spark), td.city_polygons(spark),
-        "2024-01-01T00:00:00", "2024-01-20T23:59:59.999999", "cold__try1", trip_suffix=None, traffic_limit=None,
+        "2024-01-01T00:00:00", "2024-01-30T23:59:59.999999", "cold__try1",
     )
     return wh.read("datamarts.ml_base_table")
 
 
-@query("pipe_incremental", "SELECT * FROM ml_base", **_extracted("TIMESTAMP '2024-01-22'"))
+@query("pipe_incremental", "SELECT * FROM ml_base", **_extracted("TIMESTAMP '2024-01-31'"))
 def pipe_incremental(spark, sf):
     """A cold start and the day after it."""
     wh, landed = _warehouse(spark, "daily"), _landed(spark, sf)
     jobs.coldstart(
         wh, landed, dims.default_stations(spark), td.city_polygons(spark),
-        "2024-01-01T00:00:00", "2024-01-20T23:59:59.999999", "cold__try1", trip_suffix=None, traffic_limit=None,
+        "2024-01-01T00:00:00", "2024-01-29T23:59:59.999999", "cold__try1",
     )
     jobs.incremental(
-        wh, landed, "2024-01-21T00:00:00", "2024-01-22T00:00:00", "day21__try1", trip_suffix=None, traffic_limit=None
+        wh, landed, "2024-01-30T00:00:00", "2024-01-31T00:00:00", "day30__try1"
     )
     return wh.read("datamarts.ml_base_table")

@@ -13,6 +13,8 @@ log = logging.getLogger(__name__)
 # Text accepted as a number. Spark's own cast also takes suffixes such as '1.0f'.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|infinity|Infinity)\s*$"
 
+WHOLE = r"^[+-]?\d+$"
+
 # The only spellings taken as booleans.
 TRUE_WORDS = ("true", "True", "1")
 FALSE_WORDS = ("false", "False", "0")
@@ -28,12 +30,16 @@ def cast_double(col: Column) -> Column:
 
 
 def cast_int_rounded(col: Column) -> Column:
-    """Nearest whole number, halves to even."""
-    return F.rint(cast_double(col)).try_cast("bigint")
+    """Nearest whole number, halves to even. Whole numbers keep all their digits."""
+    text = F.trim(col.cast("string"))
+    return F.coalesce(F.when(text.rlike(WHOLE), text.try_cast("bigint")), F.rint(cast_double(col)).try_cast("bigint"))
 
 
 def cast_bool_map(col: Column) -> Column:
+    """Numbers equal to 1 and 0 are the spellings ``1`` and ``0``; text must be a spelling as it stands."""
     text = col.cast("string")
+    number = F.typeof(col).isin("double", "float", "tinyint", "smallint", "int", "bigint") | F.typeof(col).startswith("decimal")
+    text = F.when(number & (text.try_cast("double") == 1), F.lit("1")).when(number & (text.try_cast("double") == 0), F.lit("0")).otherwise(text)
     return F.when(text.isin(*TRUE_WORDS), F.lit(True)).when(text.isin(*FALSE_WORDS), F.lit(False))
 
 

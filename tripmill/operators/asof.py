@@ -3,12 +3,9 @@
 Either direction, no tolerance. Equal distances go to the earlier reading, then to the smallest
 ``order`` column. Left rows without a key, a time or any reading of their key keep nulls.
 
-Two plans give the same rows:
-
-* ``by index``: the readings, if few, become a broadcast table of time cells, each listing the few
-  readings that can be nearest to an instant in that cell. The left table is not shuffled at all.
-* ``by slices``: distinct left instants and readings are put in order inside ``(key, slice)`` groups,
-  and the last reading before and first reading after each slice are carried into it.
+Distinct left instants and readings are put in order inside ``(key, slice)`` groups, and the last
+reading before and first reading after each slice are carried into it. There is one plan for tables of
+any size; which side of a join is sent to all tasks is left to Spark's measured sizes.
 """
 
 from __future__ import annotations
@@ -16,13 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions.instants import distance, seconds
+from tripmill.functions.instants import distance
 from tripmill.operators.slices import SLICE, time_cuts, with_slice
 
-# The index is broadcast only below both numbers; beyond either, the sliced plan takes over.
-INDEX_ROWS = 200_000
-INDEX_CELL_ROWS = 64
-
 
 def asof_nearest(
     left: DataFrame,
@@ -32,20 +25,14 @@ def asof_nearest(
     right_time: str,
     order: str,
     payload: dict[str, str],
-    plan: str | None = None,
     cuts: list[float] | None = None,
 ) -> DataFrame:
     """``left`` plus the ``payload`` columns (right name -> output name) of the nearest reading.
 
-    ``plan`` forces ``"index"`` or ``"slices"``; by default the size of ``right`` decides.
+    ``cuts`` are the slices' limits in seconds; any give the same rows.
     """
     readings = _one_per_instant(right, key, right_time, order, list(payload))
-    if plan is None:
-        plan = "index" if _fits_index(readings) else "slices"
-    if plan == "index":
-        found = _by_index(left, readings, key, left_time)
-    else:
-        found = _by_slices(left, readings, key, left_time, cuts)
+    found = _by_slices(left, readings, key, left_time, cuts)
     out = [F.col("_best")["row"][src].alias(name) for src, name in payload.items()]
     return found.select(*[F.col(c) for c in left.columns], *out)
 
@@ -73,80 +60,6 @@ def _reading() -> Column:
     return F.struct(F.col("_rt").alias("rt"), F.col("_row").alias("row"))
 
 
-# -- by index ---------------------------------------------------------------------------------
-
-
-def _spans(readings: DataFrame) -> DataFrame:
-    """Per key: first and last second, and as many cells as readings."""
-    span = readings.groupBy("_k").agg(
-        F.min(seconds(F.col("_rt"))).alias("lo"), F.max(seconds(F.col("_rt"))).alias("hi"), F.count("*").alias("cells")
-    )
-    return span.select("_k", "lo", _width().alias("width"), "cells")
-
-
-def _width() -> Column:
-    """Seconds per cell, a microsecond at least."""
-    return F.greatest((F.col("hi") - F.col("lo")) / F.col("cells"), F.lit(1e-6))
-
-
-def _cell(t: Column) -> Column:
-    raw = F.floor((seconds(t) - F.col("lo")) / F.col("width"))
-    return F.when(t.isNotNull(), F.least(F.greatest(raw, F.lit(0)), F.col("cells") - 1))
-
-
-def _fits_index(readings: DataFrame) -> bool:
-    cells = readings.join(_spans(readings), "_k").groupBy("_k", _cell(F.col("_rt")).alias("cell")).count()
-    size = cells.agg(F.sum("count").alias("rows"), F.max("count").alias("fullest")).first()
-    return (size["rows"] or 0) <= INDEX_ROWS and (size["fullest"] or 0) <= INDEX_CELL_ROWS
-
-
-def _index(readings: DataFrame) -> DataFrame:
-    """``_k, cell, candidates`` for every cell of every key.
-
-    A cell lists its own readings, the last one before it and the first one after it. Cells without
-    readings are filled in from the occupied cell in front of them. All windows run over the checked,
-    small number of readings.
-    """
-    of_key = Window.partitionBy("_k")
-    held = (
-        readings.withColumns(
-            {
-                "lo": F.min(seconds(F.col("_rt"))).over(of_key),
-                "hi": F.max(seconds(F.col("_rt"))).over(of_key),
-                "cells": F.count("*").over(of_key),
-            }
-        )
-        .withColumn("width", _width())
-        .groupBy("_k", _cell(F.col("_rt")).alias("held"))
-        .agg(F.sort_array(F.collect_list(_reading())).alias("inside"))  # at most INDEX_CELL_ROWS long
-    )
-    along = of_key.orderBy("held")
-    linked = held.select(
-        "_k",
-        "held",
-        "inside",
-        F.lag(F.element_at("inside", -1)).over(along).alias("before"),
-        F.lead(F.get("inside", F.lit(0))).over(along).alias("after"),
-        F.lead("held").over(along).alias("next"),
-    )
-    every = linked.withColumn("cell", F.explode(F.sequence("held", F.coalesce(F.col("next") - 1, F.col("held")))))
-    near = F.when(F.col("cell") == F.col("held"), F.concat(F.array("before"), F.col("inside"))).otherwise(
-        F.array(F.element_at("inside", -1))
-    )
-    return every.select("_k", "cell", F.array_compact(F.concat(near, F.array("after"))).alias("candidates"))
-
-
-def _by_index(left: DataFrame, readings: DataFrame, key: str, left_time: str) -> DataFrame:
-    spans, index = _spans(readings), _index(readings)
-    keyed = left.join(F.broadcast(spans), left[key] == spans["_k"], "left")
-    celled = keyed.withColumn("_cell", _cell(F.col(left_time))).drop("_k", "lo", "width", "cells")
-    joined = celled.join(F.broadcast(index), (celled[key] == index["_k"]) & (celled["_cell"] == index["cell"]), "left")
-    return joined.withColumn("_best", _nearer(F.col(left_time), F.col("candidates")))
-
-
-# -- by slices --------------------------------------------------------------------------------
-
-
 def _by_slices(
     left: DataFrame, readings: DataFrame, key: str, left_time: str, cuts: list[float] | None
 ) -> DataFrame:

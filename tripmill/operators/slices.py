@@ -1,7 +1,7 @@
 """Cutting time into slices that hold about the same number of rows each.
 
 Ordered work (running counts, last-seen values) is done inside ``(key, slice)`` groups and carried
-from slice to slice by a small summary. The cuts are quantiles of the data, so a group stays a small
+from slice to slice by a small summary. The cuts follow the number of rows, so a group stays a small
 share of all rows even when one key, one day or one hour holds a third of them.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.instants import seconds
@@ -17,24 +17,48 @@ from tripmill.functions.instants import seconds
 SLICE = "_slice"
 
 
-def slice_count(spark: SparkSession) -> int:
-    """As many slices as shuffle partitions, the number the cluster is already tuned by."""
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: A slice has about this many rows, or a SLICES-th of all rows if that is more.
+SLICE_ROWS, SLICES = 200_000, 4096
+#: Parts that a range of time is counted in at once, and the width that is not parted further.
+PARTS, LEAST_WIDTH = 256, 1e-6
 
 
-def time_cuts(frames: list[tuple[DataFrame, Column]], slices: int | None = None) -> list[float]:
-    """Quantiles of each frame's time column, merged: every slice is narrow for every frame.
+def time_cuts(frames: list[tuple[DataFrame, Column]], rows: int | None = None) -> list[float]:
+    """Limits of slices with about ``rows`` rows each, over all frames together.
 
-    One aggregation per frame over the time column alone; what reaches the driver is at most
-    ``slices`` numbers per frame.
+    Rows are counted by equal parts of the whole range, which map tasks combine, and parts with too
+    many rows are counted again by finer parts. A range of equal instants stays whole. What reaches the
+    driver is a number per part: parts are refined only where they hold more than a slice, so there are
+    at most PARTS times as many as slices.
     """
-    cuts: set[float] = set()
-    for df, ts in frames:
-        n = slices or slice_count(df.sparkSession)
-        marks = [i / n for i in range(1, n)]
-        found = df.select(seconds(ts).alias("s")).agg(F.percentile_approx("s", marks, 10 * n).alias("q")).first()["q"]
-        cuts.update(found or [])
-    return sorted(cuts)
+    columns = [df.select(seconds(ts).alias("s")).where("s IS NOT NULL") for df, ts in frames]
+    every = columns[0]
+    for more in columns[1:]:
+        every = every.unionAll(more)
+    span = every.agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("n")).first()
+    most = max(rows or SLICE_ROWS, span["n"] // SLICES)
+    if span["n"] <= most or span["low"] == span["high"]:
+        return []
+    spark, done = every.sparkSession, {}
+    width, crowded = (span["high"] - span["low"]) / PARTS, [span["low"]]
+    counted = every.withColumn("start", F.lit(span["low"]))
+    while crowded:
+        part = F.least(F.floor((F.col("s") - F.col("start")) / width), F.lit(PARTS - 1))
+        parts = counted.groupBy((F.col("start") + part * width).alias("start")).count().collect()
+        crowded = [r["start"] for r in parts if r["count"] > most and width > LEAST_WIDTH]
+        done |= {r["start"]: r["count"] for r in parts if r["start"] not in set(crowded)}
+        if crowded:
+            # Only the rows of crowded parts are counted again.
+            starts = spark.createDataFrame([(x,) for x in crowded], "start double")
+            counted = counted.select("s", (F.col("start") + part * width).alias("start")).join(F.broadcast(starts), "start")
+            width /= PARTS
+    cuts, held = [], 0
+    for start in sorted(done):
+        if held and held + done[start] > most:
+            cuts.append(start)
+            held = 0
+        held += done[start]
+    return cuts
 
 
 def with_slice(df: DataFrame, ts: Column, cuts: list[float]) -> DataFrame:

@@ -48,10 +48,10 @@ def _described(texts: DataFrame, id_len: int) -> DataFrame:
         F.col("at.lat").alias("latitude"),
         F.lit("census_centroid").alias("source_type"),
     )
-    if id_len >= 16:
-        return rows  # equal ids of different texts are not to be expected, and are caught by the key check
-    first = Window.partitionBy("location_id").orderBy("original_text")
-    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    # One row per id, as shortened ids of two texts can be equal: the smallest text stays.
+    columns = [c for c in rows.columns if c not in ("location_id", "original_text")]
+    row = F.struct("original_text", *columns)
+    return rows.groupBy("location_id").agg(F.min_by(row, "original_text").alias("row")).select("location_id", "row.*")
 
 
 def locations_build(

@@ -9,7 +9,7 @@ from tripmill.functions.instants import as_ntz
 from tripmill.functions.typing import cast_double, cast_frame, cast_timestamp, finite
 from tripmill.plans.schemas import TRAFFIC, TRAFFIC_BOX, TRIPS, WEATHER
 
-# Defaults of the extracts.
+# Dates of the extracts, and the sample and limit that a caller may ask for.
 START_DATE = "2025-09-01T00:00:00.000"
 COLD_START_END_DATE = "2025-09-03T23:59:00.000"
 END_DATE = "2025-09-10T23:59:00.000"
@@ -55,8 +55,9 @@ def typed(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def extract_trips(
-    raw: DataFrame, start: str | None, end: str | None, batch_id: str, suffix: str | None = TRIP_SAMPLE_SUFFIX
+    raw: DataFrame, start: str | None, end: str | None, batch_id: str, suffix: str | None = None
 ) -> DataFrame:
+    """All trips of the range in the city; a ``suffix`` keeps only the sample of ids that end in it."""
     wanted = in_city_with_centroids(sampled_by_suffix(in_closed_range(raw, "trip_start_timestamp", start, end), suffix=suffix))
     return typed(add_batch_id(wanted, batch_id), TRIPS)
 
@@ -67,7 +68,7 @@ def earliest_traffic(df: DataFrame, limit: int = TRAFFIC_LIMIT) -> DataFrame:
 
 
 def extract_traffic(
-    raw: DataFrame, start: str | None, end: str | None, batch_id: str, limit: int | None = TRAFFIC_LIMIT
+    raw: DataFrame, start: str | None, end: str | None, batch_id: str, limit: int | None = None
 ) -> DataFrame:
     """Typed readings with the box columns still attached, for the region dimension."""
     wanted = in_closed_range(raw, "time", start, end).where("region_id IS NOT NULL")

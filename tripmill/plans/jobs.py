@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 
-from tripmill.operators.checks import area_rows, count_gate, require_none, require_rows, station_range_rows
+from tripmill.operators.checks import area_rows, count_gate, orphan_rows, require_none, require_rows, station_range_rows
 from tripmill.operators.zones import voronoi_zones
 from tripmill.plans import dims, extracts, facts, marts
 from tripmill.plans.extracts import add_batch_id
@@ -33,11 +33,12 @@ def coldstart(
     start: str,
     end: str,
     batch_id: str,
-    trip_suffix: str | None = extracts.TRIP_SAMPLE_SUFFIX,
-    traffic_limit: int | None = extracts.TRAFFIC_LIMIT,
+    trip_suffix: str | None = None,
+    traffic_limit: int | None = None,
 ) -> int:
     """Everything from scratch for ``[start, end]``; returns the number of staged trips.
 
+    All landed rows are taken, unless a sample of trips or a number of readings is asked for.
     The fact window is closed one minute after ``end``, so that the last minute is kept.
     """
     wh.create()
@@ -46,6 +47,8 @@ def coldstart(
     require_none(station_range_rows(points), "station coordinates out of range")
     require_none(area_rows(city), "boundary area is not positive")
     zones = dims.zones_table(voronoi_zones(points, city))
+    require_none(area_rows(zones), "zone area is not positive")
+    require_none(orphan_rows(zones, "station_id", points, "station_id"), "zone of an unknown station")
     wh.replace("dim_spatial.chicago_city_boundary", city)
     wh.replace("dim_spatial.weather_stations_points", points)
     wh.replace("dim_spatial.weather_voronoi_zones", zones)
@@ -63,8 +66,8 @@ def incremental(
     start: str,
     end: str,
     batch_id: str,
-    trip_suffix: str | None = extracts.TRIP_SAMPLE_SUFFIX,
-    traffic_limit: int | None = extracts.TRAFFIC_LIMIT,
+    trip_suffix: str | None = None,
+    traffic_limit: int | None = None,
 ) -> int:
     """One interval ``[start, end)``: extracts are closed one second before ``end``, weather one day."""
     _stage(
@@ -137,15 +140,26 @@ def _facts(wh: Warehouse, start: str, end: str) -> None:
 
     invalid = wh.read("dim_spatial.invalid_locations").select("location_id")
     trips = facts.trip_rows(window("staging.stg_raw_trips"), invalid, start, end)
+    traffic = facts.traffic_rows(window("staging.stg_raw_traffic"), start, end)
+    weather = facts.weather_rows(window("staging.stg_raw_weather"), start, end)
+    # All rows are checked before the first table changes.
+    for rows, column, parent, key in (
+        (trips, "pickup_location_id", "trips_locations", "location_id"),
+        (trips, "dropoff_location_id", "trips_locations", "location_id"),
+        (traffic, "region_id", "traffic_regions", "region_id"),
+        (weather, "station_id", "weather_stations_points", "station_id"),
+    ):
+        require_none(orphan_rows(rows.select(column), column, wh.read(f"dim_spatial.{parent}"), key), f"{column} is not in {parent}")
     wh.upsert("fact_tables.fact_trips", extracts.add_created_at(trips))
-    wh.upsert("fact_tables.fact_traffic", facts.traffic_rows(window("staging.stg_raw_traffic"), start, end))
-    wh.upsert("fact_tables.fact_weather", facts.weather_rows(window("staging.stg_raw_weather"), start, end))
+    wh.upsert("fact_tables.fact_traffic", traffic)
+    wh.upsert("fact_tables.fact_weather", weather)
 
 
 def refresh_marts(wh: Warehouse) -> None:
-    """All three marts anew from the facts."""
+    """All three marts anew from the facts; traffic, weather and counts are looked up once for two of them."""
     trips, mapped = wh.read("fact_tables.fact_trips"), wh.read("dim_spatial.mapped_locations")
     traffic, weather = wh.read("fact_tables.fact_traffic"), wh.read("fact_tables.fact_weather")
-    wh.replace("datamarts.fact_trips_with_traffic_weather", marts.trips_enriched(trips, mapped, traffic, weather))
+    wide = wh.scratch("described_trips", marts.described_trips(trips, mapped, traffic, weather))
+    wh.replace("datamarts.fact_trips_with_traffic_weather", wide.select(*marts.ENRICHED))
     wh.replace("datamarts.dm_trips_hourly_pickup_stats", marts.hourly_pickup(trips))
-    wh.replace("datamarts.ml_base_table", marts.ml_base(trips, mapped, traffic, weather))
+    wh.replace("datamarts.ml_base_table", marts.features(wide))

@@ -29,12 +29,12 @@ def with_location_map(trips: DataFrame, mapped: DataFrame) -> DataFrame:
     return trips.join(places, "pickup_location_id", "left")
 
 
-def nearest_traffic(trips: DataFrame, traffic: DataFrame, plan: str | None = None) -> DataFrame:
+def nearest_traffic(trips: DataFrame, traffic: DataFrame) -> DataFrame:
     payload = {"region_id": "pickup_traffic_region_id", "speed": "traffic_speed", "num_reads": "traffic_num_reads"}
-    return asof_nearest(trips, traffic, "region_id", "trip_start_timestamp", "time", "record_id", payload, plan)
+    return asof_nearest(trips, traffic, "region_id", "trip_start_timestamp", "time", "record_id", payload)
 
 
-def nearest_weather(trips: DataFrame, weather: DataFrame, plan: str | None = None) -> DataFrame:
+def nearest_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     payload = {
         "station_id": "pickup_weather_station_id",
         "temp": "weather_temp",
@@ -42,7 +42,7 @@ def nearest_weather(trips: DataFrame, weather: DataFrame, plan: str | None = Non
         "windspeed": "weather_windspeed",
         "conditions": "weather_conditions",
     }
-    return asof_nearest(trips, weather, "station_id", "trip_start_timestamp", "datetime", "record_id", payload, plan)
+    return asof_nearest(trips, weather, "station_id", "trip_start_timestamp", "datetime", "record_id", payload)
 
 
 ENRICHED = [
@@ -84,7 +84,7 @@ CONDITIONS = {
 }
 
 
-def _features(df: DataFrame) -> DataFrame:
+def features(df: DataFrame) -> DataFrame:
     start = F.col("trip_start_timestamp")
     return df.select(
         *TRIP_COLUMNS[:8],
@@ -98,18 +98,20 @@ def _features(df: DataFrame) -> DataFrame:
     )
 
 
+def described_trips(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
+    """Every trip with its counts and the nearest traffic and weather: what both trip marts choose from."""
+    placed = with_location_map(window_features(trips.select(*TRIP_COLUMNS)), mapped)
+    return nearest_weather(nearest_traffic(placed, traffic), weather)
+
+
 def ml_base(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
     """One row per trip: times, places, nearest traffic and weather, and the two counts.
 
-    Traffic and weather are looked up on the trips themselves. Joining the enriched mart by trip id
-    gives the same rows (:func:`ml_base_from_mart`) but shuffles both tables whole; the lookups, with
-    readings few enough to broadcast, shuffle nothing.
+    Traffic and weather are looked up on the trips themselves: no join by trip id is needed.
     """
-    counted = window_features(trips.select(*TRIP_COLUMNS))
-    placed = with_location_map(counted, mapped)
-    return _features(nearest_weather(nearest_traffic(placed, traffic), weather))
+    return features(described_trips(trips, mapped, traffic, weather))
 
 
 def ml_base_from_mart(trips: DataFrame, enriched: DataFrame) -> DataFrame:
     counted = window_features(trips.select(*TRIP_COLUMNS))
-    return _features(counted.join(enriched.select("trip_id", *CONDITIONS), "trip_id", "left"))
+    return features(counted.join(enriched.select("trip_id", *CONDITIONS), "trip_id", "left"))

@@ -100,6 +100,9 @@ class Warehouse:
         require_unique(rows, *key, name=table)
         again = self.read(table).select(*key).join(rows.select(*key), key, "left_semi")
         require_none(again, f"{table}: already loaded")
+        if table in EVENT_TIME:
+            # Full days are split over tasks and small days put together, by measured size.
+            rows = rows.hint("rebalance", DAY)
         rows.write.mode("append").insertInto(self.name(table))
 
     def replace(self, table: str, df: DataFrame) -> None:
@@ -125,6 +128,12 @@ class Warehouse:
             return
         self._upsert_days(table, rows, key, mode)
 
+    def scratch(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows that several tables are made of, written once."""
+        folder = f"{self.root}/scratch/{name}/{uuid.uuid4().hex}"
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     def _settled(self, table: str, rows: DataFrame) -> DataFrame:
         """The batch as written files: it is read several times, and must not be derived anew each time."""
         folder = f"{self.root}/batches/{table}/{uuid.uuid4().hex}"
