@@ -3,16 +3,17 @@
 Sets of equal content are one set from the start (``set_id``). Then:
 
 1. Frequencies. Every set posts its shingles to buckets of hash ranges, as packed arrays; a bucket
-   counts in how many sets each shingle occurs and sends on those in two sets or more. Shingles that
-   are frequent in single tasks are counted first: the most frequent, at most HOT_PARTS times the mean
-   set size of them, are known to every task and are not posted, so no bucket holds a hot key.
+   finds in which sets each shingle occurs and sends on those in two sets or more, all shingles with the
+   same holders as one class with a number. Shingles that are frequent in single tasks are counted first:
+   the most frequent, at most HOT_PARTS times the mean set size of them, are known to every task and
+   are classes of their own without being posted, so no bucket holds a hot key.
 2. Survivors. With shingles in the order of frequency, two linked sets share one of the first
    ``n - ceil(0.75 n) + 1`` of each. Shingles of one set alone come first in that order: a set with that
    many of them has no link, and needs no further step. This drops most sets.
-3. Keys, by size. Small sets list the subsets of two shingles of their prefix, one shingle longer, as
-   two linked sets share two of it. Large sets, and the small ones that a large one can reach, go to
-   inverted lists of single shingles. The boundary has the least cost by a table of sizes: subsets
-   listed below it, against list entries read above it.
+3. Keys, by size. Small sets list the subsets of two shingles (as classes) of their prefix, one shingle
+   longer, as two linked sets share two of it. Large sets, and the small ones that a large one can reach,
+   go to inverted lists of single classes. The boundary has the least cost by a table of sizes: subsets
+   listed below it, against list entries above it, whose candidates are looser.
 4. Candidates. In each list the members are tied to the smallest member of their size class and of the
    next ones: as many ties as members, and whatever shares a key is connected by ties.
 5. Verification. Each connected group meets in one task, or, if large, in one task per two blocks of its
@@ -43,10 +44,14 @@ PERCENT = 75
 #: A shingle in over 1 / HOT_PARTS of the sets (and HOT_LEAST sets) is known to every task.
 HOT_PARTS, HOT_LEAST, LOCAL_LEAST = 4096, 1000, 4
 #: Shingles posted at once by a task, and in a bucket on average.
-CHUNK, BUCKET = 2_000_000, 1_000_000
+CHUNK, BUCKET = 2_000_000, 2_000_000
+#: Cost of a list entry, in subsets: sets that share one class are tied more often without a link.
+LOOSE = 2.0
 #: Sets in a block of a large group.
 BLOCK = 512
 
+#: Kinds of packed rows: shingles of a range, hot shingles of sets, classes of sets.
+POSTING, HOT, CLASS = 0, 1, 2
 POSTED = "bucket bigint, kind int, data binary, owners binary, sets binary, sizes binary"
 ROW = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), *((c, pa.binary()) for c in ("data", "owners", "sets", "sizes"))])
 
@@ -113,19 +118,19 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, ROW.types, strict=True)], schema=ROW)
 
 
-def _frequent(tokens: np.ndarray, counts: np.ndarray, owners: np.ndarray, keys: np.ndarray, sizes: np.ndarray, buckets: int, kind: int, fold: int = 0):
-    """Rows of shingles with their counts, by the set's bucket. Kind 1 passes through step one untouched."""
+def _classes(classes, holders, numbers, owners, keys: np.ndarray, sizes: np.ndarray, buckets: int, kind: int):
+    """Rows of classes by the bucket of the set. ``holders``: sets with the class; ``numbers``: its shingles."""
     home = (keys.view(np.uint64) % np.uint64(buckets)).astype(np.int64)[owners]
-    order = np.lexsort((tokens, owners, home))
-    tokens, counts, owners, home = tokens[order], counts[order], owners[order], home[order]
-    cuts = np.flatnonzero(np.diff(home, prepend=-1))
+    order = np.argsort(home, kind="stable")
+    cuts = np.flatnonzero(np.diff(home[order], prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(home)], strict=True):
-        data = sh.planes(tokens[a:b]) + sh.planes(np.minimum(counts[a:b], 2**32 - 1).astype("<u4"))
-        yield _row(int(home[a]), kind, data, owners[a:b], keys, sizes)
+        at = order[a:b]
+        data = sh.planes(classes[at]) + sh.planes(np.minimum(holders[at], 2**32 - 1).astype("<u4")) + sh.planes(numbers[at].astype("<u4"))
+        yield _row(int(home[at[0]]), kind, data, owners[at], keys, sizes)
 
 
 def posted(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """Packed postings: kind 0 by hash range of the shingle, kind 1 (hot shingles) by set."""
+    """Packed postings: kind POSTING by hash range of the shingle, kind HOT by set."""
     values, numbers = hot
 
     def batches(parts):
@@ -139,14 +144,15 @@ def posted(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], buckets: int) ->
                 at = np.minimum(np.searchsorted(values, tokens), len(values) - 1)
                 is_hot = values[at] == tokens
                 if is_hot.any():
-                    rows += _frequent(tokens[is_hot], numbers[at[is_hot]], owners[is_hot], keys, sizes, buckets, 1)
+                    one = np.ones(int(is_hot.sum()), np.int64)
+                    rows += _classes(tokens[is_hot], numbers[at[is_hot]], one, owners[is_hot], keys, sizes, buckets, HOT)
                     tokens, owners = tokens[~is_hot], owners[~is_hot]
             order = np.argsort(tokens, kind="stable")
             tokens, owners = tokens[order], owners[order]
             home = bucket_of(tokens, buckets)
             cuts = np.flatnonzero(np.diff(home, prepend=-1))
             for a, b in zip(cuts, [*cuts[1:], len(home)], strict=True):
-                rows.append(_row(int(home[a]), 0, sh.sorted_planes(tokens[a:b]), owners[a:b], keys, sizes))
+                rows.append(_row(int(home[a]), POSTING, sh.sorted_planes(tokens[a:b]), owners[a:b], keys, sizes))
             for at in range(0, len(rows), 64):
                 yield _table(rows[at : at + 64])
 
@@ -177,11 +183,11 @@ def _read(rows: pa.Table, kind: int):
 
 
 def frequencies(rows: DataFrame, buckets: int) -> DataFrame:
-    """Shingles in two sets or more, with their counts, by the bucket of the set."""
+    """Shingles in two sets or more, as classes of equal holders, by the bucket of the set."""
 
     def bucket(group: pa.Table) -> pa.Table:
         out = []
-        if (got := _read(group, 0)) is not None:
+        if (got := _read(group, POSTING)) is not None:
             keys, sizes, owners, data = got
             tokens = np.concatenate([sh.from_sorted_planes(d) for d in data])
             order = np.lexsort((owners, tokens))
@@ -190,83 +196,96 @@ def frequencies(rows: DataFrame, buckets: int) -> DataFrame:
             new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
             tokens, owners = tokens[new], owners[new]
             starts = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
-            counts = np.diff(starts, append=len(tokens))
-            counts = np.repeat(counts, counts)
-            often = counts > 1
+            holders = np.diff(starts, append=len(tokens))
+            # A class is named by the sum of its holders' mixed ids.
+            names = np.add.reduceat(sh.mixed(keys.view(np.uint64))[owners], starts)
+            names, holders = np.repeat(sh.mixed(names), holders), np.repeat(holders, holders)
+            often = holders > 1
             if often.any():
-                out += _frequent(tokens[often], counts[often], owners[often], keys, sizes, buckets, 1)
-        passed = group.filter(pc.equal(group.column("kind"), 1)).select(ROW.names).cast(ROW)
+                owners, names, holders = owners[often], names[often], holders[often]
+                order = np.lexsort((names, owners))
+                owners, names, holders = owners[order], names[order], holders[order]
+                starts = np.flatnonzero(np.concatenate(([True], (names[1:] != names[:-1]) | (owners[1:] != owners[:-1]))))
+                numbers = np.diff(starts, append=len(names))
+                out += _classes(names[starts], holders[starts], numbers, owners[starts], keys, sizes, buckets, CLASS)
+        passed = group.filter(pc.equal(group.column("kind"), HOT)).select(ROW.names).cast(ROW)
         return pa.concat_tables([pa.Table.from_batches([_table(out)]), passed])
 
     return rows.groupBy("bucket").applyInArrow(bucket, POSTED)
 
 
-SURVIVOR = "set_id bigint, n bigint, own bigint, shingles array<bigint>, counts array<bigint>"
+SURVIVOR = "set_id bigint, n bigint, one int, two int, classes array<bigint>, numbers array<bigint>"
 
 
 def survivors(rows: DataFrame) -> DataFrame:
-    """Sets that may have a link, with all their shared shingles, rare ones first; ``own``: the number of others."""
+    """Sets that may have a link: their classes, rare ones first, and the shingles in each.
+
+    ``one`` of the classes, from the first, hold the prefix, and ``two`` the prefix and one shingle more.
+    """
 
     def bucket(group: pa.Table) -> pa.Table:
-        keys, sizes, owners, data = _read(group, 1)
-        parts = [(d[: len(d) // 12 * 8], d[len(d) // 12 * 8 :]) for d in data]
-        tokens = np.concatenate([sh.from_planes(t, np.uint64) for t, _ in parts])
-        counts = np.concatenate([sh.from_planes(c, "<u4") for _, c in parts]).astype(np.int64)
-        order = np.lexsort((tokens, counts, owners))
-        tokens, counts, owners = tokens[order], counts[order], owners[order]
-        new = np.ones(len(tokens), dtype=bool)
-        new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-        tokens, counts, owners = tokens[new].view(np.int64), counts[new], owners[new]
-        shared = np.bincount(owners, minlength=len(keys))
-        stays = np.flatnonzero(sizes - shared < prefix(sizes))
-        ends = np.cumsum(shared)
-        spans = [slice(ends[i] - shared[i], ends[i]) for i in stays]
+        parts = []
+        for kind in (HOT, CLASS):
+            if (got := _read(group, kind)) is None:
+                continue
+            keys, sizes, owners, data = got
+            cut = [(d[: len(d) // 2], d[len(d) // 2 : len(d) // 4 * 3], d[len(d) // 4 * 3 :]) for d in data]
+            names = np.concatenate([sh.from_planes(x, np.uint64) for x, _, _ in cut])
+            holders = np.concatenate([sh.from_planes(x, "<u4") for _, x, _ in cut]).astype(np.int64)
+            numbers = np.concatenate([sh.from_planes(x, "<u4") for _, _, x in cut]).astype(np.int64)
+            if kind == HOT:  # tasks repeat the shingles of a set that they both have
+                _, first = np.unique(np.stack([owners.astype(np.uint64), names]), axis=1, return_index=True)
+                names, holders, numbers, owners = names[first], holders[first], numbers[first], owners[first]
+            parts.append((keys[owners], sizes[owners], names, holders, numbers))
+        ids, n, names, holders, numbers = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((names, holders, ids))
+        ids, n, names, holders, numbers = ids[order], n[order], names[order], holders[order], numbers[order]
+        starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (names[1:] != names[:-1]))))
+        ids, n, names, numbers = ids[starts], n[starts], names[starts].view(np.int64), np.add.reduceat(numbers, starts)
+        starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        ends = np.append(starts[1:], len(ids))
+        own = n[starts] - np.add.reduceat(numbers, starts)
+        reach = prefix(n[starts]) - own
+        before = np.cumsum(numbers) - numbers
+        before -= np.repeat(before[starts], ends - starts)
+        one, two = (np.add.reduceat((before < np.repeat(reach + k, ends - starts)).astype(np.int64), starts) for k in (0, 1))
+        stays = np.flatnonzero(reach > 0)
+        spans = [slice(starts[i], ends[i]) for i in stays]
         return pa.table({
-            "set_id": keys[stays], "n": sizes[stays], "own": (sizes - shared)[stays],
-            "shingles": pa.array([tokens[s] for s in spans], pa.list_(pa.int64())),
-            "counts": pa.array([counts[s] for s in spans], pa.list_(pa.int64())),
+            "set_id": ids[starts][stays], "n": n[starts][stays], "one": one[stays].astype(np.int32), "two": two[stays].astype(np.int32),
+            "classes": pa.array([names[s] for s in spans], pa.list_(pa.int64())),
+            "numbers": pa.array([numbers[s] for s in spans], pa.list_(pa.int64())),
         })
 
     return rows.groupBy("bucket").applyInArrow(bucket, SURVIVOR)
 
 
-def _in_prefix(percent: int = PERCENT) -> str:
-    return f"least(size(shingles), n - cast(ceil({percent} * n / 100) as int) + 1 - own)"
-
-
 def boundary(sets: DataFrame) -> int:
     """The largest size of a small set: the sum of both costs is least there."""
-    k = F.expr(_in_prefix())
-    pair = F.expr(f"least(size(shingles), {_in_prefix()} + 1)")
-    costs = sets.select(
-        F.col("n"),
-        (pair * (pair - 1) / 2).alias("subsets"),
-        F.aggregate(F.slice("counts", F.lit(1), k), F.lit(0).cast("bigint"), lambda s, x: s + x).alias("entries"),
-    )
     # Sizes over 64 share a row with their neighbours up to a sixteenth: the table stays small.
-    step = F.when(F.col("n") <= 64, F.col("n")).otherwise(F.ceil(F.lit(2.0) ** (F.ceil(F.log2("n") * 16) / 16)))
-    table = costs.groupBy(step.cast("long").alias("n")).agg(F.sum("subsets").alias("subsets"), F.sum("entries").alias("entries")).orderBy("n").collect()
-    best, bound, low, high = None, 0, 0.0, float(sum(r["entries"] for r in table))
+    size = F.when(F.col("n") <= 64, F.col("n")).otherwise(F.ceil(F.lit(2.0) ** (F.ceil(F.log2("n") * 16) / 16))).cast("long")
+    costs = sets.groupBy(size.alias("n")).agg(F.sum(F.col("two") * (F.col("two") + 1) / 2).alias("subsets"), (F.sum("one") * LOOSE).alias("entries"))
+    table = costs.orderBy("n").collect()
+    best, bound, low, high = None, 0, 0.0, sum(r["entries"] for r in table)
     for r in [None, *table]:
         if r is not None:
-            low, high = low + float(r["subsets"]), high - float(r["entries"])
+            low, high = low + r["subsets"], high - r["entries"]
         if best is None or low + high < best:
             best, bound = low + high, r["n"] if r is not None else 0
     return bound
 
 
 def keys(sets: DataFrame, bound: int) -> DataFrame:
-    """key, set_id, n and size class: subsets of two for small sets, single shingles for the others."""
-    small = sets.where(F.col("n") <= bound)
-    # Sets of one or two shingles list nothing: they link with equal sets only, which are one set here.
-    first = F.expr(f"slice(shingles, 1, least(size(shingles), {_in_prefix()} + 1))")
+    """key, set_id, n and grade (of the size): subsets of two for small sets, single classes for the others."""
+    small = sets.where(F.col("n") <= bound).select("set_id", "n", F.expr("slice(classes, 1, two)").alias("first"), "numbers")
+    # Two shingles of one class are a subset, too, where the class has two.
     pairs = F.expr(
-        "flatten(transform(sequence(1, size(first) - 1), i -> transform(slice(first, i + 1, size(first)), y -> xxhash64(first[i - 1], y))))"
+        "flatten(transform(sequence(1, size(first)), i -> transform(slice(first, if(numbers[i - 1] > 1, i, i + 1), size(first)), y -> xxhash64(first[i - 1], y))))"
     )
-    small = small.withColumn("first", first).where("size(first) > 1").select("set_id", "n", F.explode(pairs).alias("key"))
+    small = small.select("set_id", "n", F.explode(pairs).alias("key"))
     single = sets.where(F.col("n") * 100 >= (bound + 1) * PERCENT)
-    single = single.select("set_id", "n", F.explode(F.expr(f"slice(shingles, 1, {_in_prefix()})")).alias("key"))
-    # Two sets with a link differ by one class at most.
+    single = single.select("set_id", "n", F.explode(F.expr("slice(classes, 1, one)")).alias("key"))
+    # Two sets with a link differ by one grade at most.
     grade = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / PERCENT) + 1e-9)
     both = small.withColumn("key", F.xxhash64(F.lit(2), "key")).unionByName(single.withColumn("key", F.xxhash64(F.lit(1), "key")))
     return both.withColumn("grade", grade)
@@ -282,27 +301,28 @@ def ties(keyed: DataFrame) -> DataFrame:
     return tied.select(F.least("head", "set_id").alias("a"), F.greatest("head", "set_id").alias("b")).distinct()
 
 
-def forest(ids: np.ndarray, sizes: np.ndarray, side: np.ndarray, tokens: list[np.ndarray], percent: int = PERCENT):
-    """Links that span what is connected among sets, given all their shared shingles.
+def forest(ids: np.ndarray, sizes: np.ndarray, side: np.ndarray, classes: list[np.ndarray], numbers: list[np.ndarray], percent: int = PERCENT):
+    """Links that span what is connected among sets, given all their classes and the shingles in each.
 
     ``side`` is the block of each set; where there are two, only links between them are looked for.
     """
-    lengths = np.array([len(t) for t in tokens])
+    lengths = np.array([len(t) for t in classes])
     owner = np.repeat(np.arange(len(ids)), lengths)
-    _, token = np.unique(np.concatenate(tokens), return_inverse=True)
+    _, token = np.unique(np.concatenate(classes), return_inverse=True)
+    weight = np.concatenate(numbers)
     order = np.argsort(token, kind="stable")
     holders = owner[order]
     starts = np.concatenate(([0], np.cumsum(np.bincount(token))))
     label, out, at, two = np.arange(len(ids)), [], 0, side.min() != side.max()
     far = side == side.max()
     for i in range(len(ids)):
-        own = token[at : at + lengths[i]]
+        own, each = token[at : at + lengths[i]], weight[at : at + lengths[i]]
         at += lengths[i]
         if two and far[i]:
             continue
         count = starts[own + 1] - starts[own]
         reach = np.repeat(starts[own] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        shared = np.bincount(holders[reach], minlength=len(ids))
+        shared = np.bincount(holders[reach], weights=np.repeat(each, count), minlength=len(ids))
         linked = (100 * shared >= percent * (sizes[i] + sizes - shared)) & (label != label[i])
         if two:
             linked &= far
@@ -317,19 +337,19 @@ def links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Links (a, b) that span the components, from sets and their candidate groups (node, component)."""
     sized = groups.groupBy("component").agg(F.count("*").alias("members"))
     plan = join_groups(groups, sized, "component", "members")
-    rows = sets.select("set_id", "n", "shingles").join(plan.withColumnRenamed("node", "set_id"), "set_id")
+    rows = sets.select("set_id", "n", "classes", "numbers").join(plan.withColumnRenamed("node", "set_id"), "set_id")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
     # A set of block i meets block j in task (i, j), its own block in task (i, i).
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.withColumn("other", other)
-    rows = rows.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set_id", "n", "shingles")
+    rows = rows.select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "set_id", "n", "classes", "numbers")
 
     def group(part: pa.Table) -> pa.Table:
         part = part.sort_by("set_id")
-        tokens = [np.asarray(x.values) for x in part.column("shingles")]
+        classes, numbers = ([np.asarray(x.values) for x in part.column(c)] for c in ("classes", "numbers"))
         ids, sizes, side = (part.column(c).to_numpy() for c in ("set_id", "n", "block"))
-        found = forest(ids, sizes, side, tokens) if len(ids) > 1 else []
+        found = forest(ids, sizes, side, classes, numbers) if len(ids) > 1 else []
         return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([x for _, x in found], pa.int64())})
 
     return rows.groupBy("component", "low", "high").applyInArrow(group, "a bigint, b bigint")

@@ -45,7 +45,7 @@ def _tables(n: int) -> list[np.ndarray]:
     return _TABLES
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return h ^ (h >> np.uint64(33))
@@ -61,7 +61,7 @@ def word_hashes(text: str) -> np.ndarray:
     starts, ends = edges[::2], edges[1::2]
     running = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_VALUE[data] * up[: len(data)], dtype=np.uint64, out=running[1:])
-    return _mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return mixed((running[ends] - running[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -72,7 +72,7 @@ def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     width = min(width, len(words))
     h = np.full(len(words) - width + 1, np.uint64(width))
     for k in range(width):
-        h = _mixed(h * np.uint64(_BASE) + words[k : k + len(h)])
+        h = mixed(h * np.uint64(_BASE) + words[k : k + len(h)])
     return np.unique(h)
 
 
