@@ -56,6 +56,30 @@ def test_shared_edge_of_parts_is_inside(spark):
     }
 
 
+def test_partly_shared_edge_of_parts_is_inside(spark):
+    two = "MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((2 0, 4 0, 4 1, 2 1, 2 0)), ((0 2, 1 2, 1 3, 0 3, 0 2)))"
+    within = [(2.0, 0.5), (1.0, 1.0), (3.0, 0.5), (0.5, 2.0), (0.25, 2.5)]
+    rim = [(2.0, 1.0), (2.0, 1.5), (2.0, 0.0), (1.0, 2.0), (1.5, 2.0), (0.0, 2.0), (4.0, 0.5)]
+    assert {p for p, _ in inside(spark, within + rim, two)} == set(within)
+    slanted = "MULTIPOLYGON (((0 0, 4 4, 0 4, 0 0)), ((1 1, 3 1, 3 3, 1 1)))"
+    assert {p for p, _ in inside(spark, [(2.0, 2.0), (0.5, 0.5), (3.5, 3.5), (2.5, 1.5)], slanted)} == {(2.0, 2.0), (2.5, 1.5)}
+
+
+def test_far_points_are_looked_up_too(spark):
+    far = "POLYGON ((-3e9 -3e9, 3e9 -3e9, 3e9 3e9, -3e9 3e9, -3e9 -3e9))"
+    assert {p for p, _ in inside(spark, [(2e9, 2e9), (4e9, 0.0), (float("-inf"), 0.0)], far)} == {(2e9, 2e9)}
+
+
+def test_a_detailed_ring_has_few_bands_in_a_cell(spark):
+    ring = [(math.cos(k * math.pi / 10_000), math.sin(k * math.pi / 10_000)) for k in range(20_000)]
+    text = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in [*ring, ring[0]]) + "))"
+    filed = spatial.filed_bands(spatial.polygon_bands(polygons(spark, text), "poly")).cache()
+    cells = filed.groupBy("lx", "ly", "cx", "cy").count()
+    assert cells.agg(F.max("count")).first()[0] <= 4
+    assert filed.agg(F.max(F.size("edges"))).first()[0] <= 4 * spatial.BAND_EDGES
+    assert filed.select("band").distinct().count() > 250
+
+
 def test_no_polygons(spark):
     pts = points(spark, [(1.0, 1.0)])
     assert tuples(spatial.join_within(pts, "id", polygons(spark, "POINT (1 1)"), "poly"), "id", "poly") == [(0, None)]
@@ -100,8 +124,8 @@ def brute(spots, sites):
     return out
 
 
-def test_nearest_site_both_ways(spark):
-    """Literal sites and the grid search agree with brute force, with a third of the sites in one spot."""
+def test_nearest_site(spark):
+    """The grid search agrees with brute force, with a third of the sites in one spot."""
     rng = random.Random(3)
     sites = [(f"s{i:03d}", rng.uniform(0, 10), rng.uniform(0, 10)) for i in range(100)]
     sites += [(f"t{i:03d}", 5 + rng.uniform(0, 1e-5), 5 + rng.uniform(0, 1e-5)) for i in range(50)]
@@ -109,11 +133,10 @@ def test_nearest_site_both_ways(spark):
     spots = [(rng.uniform(-5, 15), rng.uniform(-5, 15)) for _ in range(300)] + [(7.0, 7.0), (5.0, 5.0), (None, 1.0)]
     df = spark.createDataFrame(sites, "site string, sx double, sy double")
     pts = points(spark, spots)
-    want = brute(spots, sites)
-    for limit in (1000, 1):
-        found = nearest_site(
-            pts, "id", F.col("longitude"), F.col("latitude"), df, "site", F.col("sx"), F.col("sy"), literal_sites=limit
-        )
+    for n in (len(sites), 12, 1):
+        some = df.where(F.col("site").isin([s for s, _, _ in sites[:n]]))
+        want = brute(spots, sites[:n])
+        found = nearest_site(pts, "id", F.col("longitude"), F.col("latitude"), some, "site", F.col("sx"), F.col("sy"))
         got = {r["id"]: r["site"] for r in found.collect()}
         assert got.pop(len(spots) - 1) is None
         assert got == want

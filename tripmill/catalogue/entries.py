@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.catalogue import testdata as td
-from tripmill.catalogue.oracle import CTES, END, NUMBER, START, _utm, sql
+from tripmill.catalogue.oracle import CTES, END, NUMBER, START, _inside, _utm, sql
 from tripmill.functions import instants, places, typing
 from tripmill.functions.geometry import utm16n, wkt_point, wkt_rectangle
 from tripmill.operators import checks, counts
@@ -669,6 +669,42 @@ def agg_union_geometry(spark, sf):
     return within_pairs(locations(spark, sf), "location_id", whole, "boundary_id").select("location_id")
 
 
+@query(
+    "spjoin_partly_shared",
+    """SELECT location_id FROM locations WHERE (longitude > -87.86 AND longitude < -87.7 AND latitude > 41.69 AND latitude < 41.99)
+        OR (longitude > -87.7 AND longitude < -87.52 AND latitude > 41.75 AND latitude < 41.9)
+        OR (longitude = -87.7 AND latitude > 41.75 AND latitude < 41.9)""",
+)
+def spjoin_partly_shared(spark, sf):
+    """Locations inside two parts of one geometry that have a piece of an edge in common."""
+    wide = "((-87.86 41.69, -87.7 41.69, -87.7 41.99, -87.86 41.99, -87.86 41.69))"
+    low = "((-87.7 41.75, -87.52 41.75, -87.52 41.9, -87.7 41.9, -87.7 41.75))"
+    both = spark.createDataFrame([(1, f"MULTIPOLYGON ({wide}, {low})")], "poly int, geometry_wkt string")
+    return within_pairs(locations(spark, sf), "location_id", both, "poly").select("location_id")
+
+
+_SKYLINE = """(SELECT 1 AS poly, x AS x1, y AS y1, coalesce(lead(x) OVER o, first_value(x) OVER o) AS x2,
+        coalesce(lead(y) OVER o, first_value(y) OVER o) AS y2
+    FROM (SELECT c_custkey AS k, -87.9::DOUBLE + c_custkey::DOUBLE / 5000::DOUBLE AS x,
+            41.75::DOUBLE + (c_custkey * 37 % 100)::DOUBLE / 500::DOUBLE AS y FROM customer
+        UNION ALL SELECT 0, -87.9::DOUBLE, 41.6::DOUBLE
+        UNION ALL SELECT max(c_custkey) + 1, -87.9::DOUBLE + (max(c_custkey) + 1)::DOUBLE / 5000::DOUBLE, 41.6::DOUBLE FROM customer)
+    WINDOW o AS (ORDER BY k))"""
+
+
+@query("spjoin_many_edges", f"SELECT DISTINCT location_id FROM ({_inside('locations', _SKYLINE)})")
+def spjoin_many_edges(spark, sf):
+    """Locations inside one polygon with a corner for every customer."""
+    k = td.table(spark, sf, "customer").select(col("c_custkey").cast("bigint").alias("k"))
+    corners = k.selectExpr("k", "-87.9D + k / 5000D AS x", "41.75D + (k * 37 % 100) / 500D AS y")
+    corners = corners.unionAll(spark.range(1).selectExpr("0", "-87.9D", "41.6D"))
+    corners = corners.unionAll(k.agg(F.max("k").alias("k")).selectExpr("k + 1", "-87.9D + (k + 1) / 5000D", "41.6D"))
+    ring = corners.agg(F.array_sort(F.collect_list(F.struct("k", "x", "y"))).alias("p"))
+    text = "concat('POLYGON ((', array_join(transform(concat(p, slice(p, 1, 1)), c -> concat(c.x, ' ', c.y)), ', '), '))')"
+    skyline = ring.selectExpr("1 AS poly", f"{text} AS geometry_wkt")
+    return within_pairs(locations(spark, sf), "location_id", skyline, "poly").select("location_id")
+
+
 @query("win_started_cum", "SELECT trip_id, n_started FROM windowed")
 def win_started_cum(spark, sf):
     trips = fact_trips(spark, sf).select("trip_id", "trip_start_timestamp")

@@ -1,8 +1,9 @@
 """Nearest site to each point, by straight-line distance; ties go to the smallest site id.
 
-Few sites (checked) are put into the plan as literals and no join is needed. More sites are searched
-through a pyramid of grid cells: at each level a point keeps only the cells that can still hold its
-nearest site, judged by the distance to one known site, so it never meets all sites.
+Sites are searched through a pyramid of grid cells: at each level a point keeps only the cells that can
+still hold its nearest site, judged by the distance to one known site, so it never meets all sites. The
+pyramid is as deep as the sites need: with LEAF_SITES sites or fewer there is no level at all. Which
+side of a join is sent to all tasks is left to Spark's measured sizes.
 """
 
 from __future__ import annotations
@@ -10,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LITERAL_SITES = 64
+#: A cell with so many sites is not parted further, nor is one at the finest level.
 LEAF_SITES = 16
-MAX_LEVEL = 40
-BROADCAST_LEVEL = 8  # a level has at most 4 ** level cells, so 65,536 here
+FINEST = 24
 
 
 def euclid(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -22,7 +22,6 @@ def euclid(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 def nearest_site(
     points: DataFrame, point: str, x: Column, y: Column, sites: DataFrame, site: str, sx: Column, sy: Column,
-    literal_sites: int = LITERAL_SITES,
 ) -> DataFrame:
     """``points`` plus ``site`` and ``distance``; both null without coordinates or without sites.
 
@@ -35,45 +34,30 @@ def nearest_site(
         .agg(F.min("_site").alias("_site"))
     )
     placed = points.withColumns({"_x": x.cast("double"), "_y": y.cast("double")})
-    few = spots.limit(literal_sites + 1).collect()
-    if not few:
-        kind = sites.schema[site].dataType
-        return points.withColumns({site: F.lit(None).cast(kind), "distance": F.lit(None).cast("double")})
-    if len(few) <= literal_sites:
-        ranked = F.array(
-            *[
-                F.struct(
-                    euclid(F.col("_x"), F.col("_y"), F.lit(s["sx"]), F.lit(s["sy"])).alias("d"),
-                    F.lit(s["_site"]).alias("site"),
-                )
-                for s in few
-            ]
-        )
-        best = F.when(F.col("_x").isNotNull() & F.col("_y").isNotNull(), F.array_min(ranked))
-        return (
-            placed.withColumn("_best", best)
-            .withColumns({site: F.col("_best.site"), "distance": F.col("_best.d")})
-            .drop("_best", "_x", "_y")
-        )
     found = _search(placed.where("_x IS NOT NULL AND _y IS NOT NULL").select(F.col(point).alias("_p"), "_x", "_y"), spots)
     found = found.select(F.col("_p").alias(point), F.col("best.site").alias(site), F.col("best.d").alias("distance"))
     return points.join(found, point, "left")
 
 
 def _search(asked: DataFrame, spots: DataFrame) -> DataFrame:
+    spots = spots.where("NOT isnan(sx) AND NOT isnan(sy)")
     box = spots.agg(F.min("sx"), F.min("sy"), F.max("sx"), F.max("sy")).first()
-    x0, y0, side = box[0], box[1], max(box[2] - box[0], box[3] - box[1]) * (1 + 1e-9)
+    if box[0] is None:
+        box = (0.0, 0.0, 0.0, 0.0)
+    x0, y0, side = box[0], box[1], (max(box[2] - box[0], box[3] - box[1]) or 1.0) * (1 + 1e-9)
 
-    def cell(v: Column, origin: float, level: int) -> Column:
-        return F.floor((v - origin) / (side / 2**level))
+    def cell(v: Column, origin: float, level: Column | int) -> Column:
+        return F.floor((v - origin) / (F.lit(side) / F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level)))
 
     def cells_at(level: int) -> DataFrame:
         return spots.groupBy(cell(F.col("sx"), x0, level).alias("cx"), cell(F.col("sy"), y0, level).alias("cy"))
 
-    # Deep enough that a cell holds few sites, however unevenly they lie.
-    depth = 2
-    while depth < MAX_LEVEL and cells_at(depth).count().agg(F.max("count")).first()[0] > LEAF_SITES:
-        depth += 2
+    # The first level whose fullest cell is a leaf: one row per level reaches the driver.
+    level = F.col("level")
+    every = spots.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FINEST))))
+    full = every.groupBy("level", cell(F.col("sx"), x0, level).alias("cx"), cell(F.col("sy"), y0, level).alias("cy")).count()
+    fullest = {r["level"]: r["n"] for r in full.groupBy("level").agg(F.max("count").alias("n")).collect()}
+    depth = next((k for k in sorted(fullest) if fullest[k] <= LEAF_SITES), FINEST if fullest else 0)
 
     front = asked.withColumns({"cx": F.lit(0).cast("bigint"), "cy": F.lit(0).cast("bigint")})
     for level in range(1, depth + 1):
@@ -89,8 +73,6 @@ def _search(asked: DataFrame, spots: DataFrame) -> DataFrame:
                 "known",
             )
         )
-        if level <= BROADCAST_LEVEL:
-            cells = F.broadcast(cells)
         west, south = x0 + F.col("nx") * width, y0 + F.col("ny") * width
         dx = F.greatest(west - F.col("_x"), F.col("_x") - (west + width), F.lit(0.0))
         dy = F.greatest(south - F.col("_y"), F.col("_y") - (south + width), F.lit(0.0))

@@ -1,10 +1,12 @@
 """Point-in-polygon joins: ``within`` means strictly inside, as boundary points are not within.
 
-Polygons are cut into horizontal bands and each band is filed under the grid cells its box touches,
-at the grid level whose cells are at least as large as the box, so a band is filed at most four
-times. A point looks up one cell per level in use. The lookup is an equi-join that Spark may
-broadcast, sort-merge or split for skew by the sizes it measures. No point meets a polygon whose
-box is not near it, and edges stay inside an array, so no (point, edge) rows are made.
+Polygons are cut into horizontal bands of about BAND_EDGES edge ends each, and each band is filed under
+the grid cells its box touches, at levels whose cells are at least as wide and as high as the box but no
+more than twice that: a thin band lies in thin cells, so a band is filed at most four times and a cell
+holds few bands of a part. A point looks up one cell per pair of levels in use. The lookup is an
+equi-join that Spark may broadcast, sort-merge or split for skew by the sizes it measures. No point
+meets a polygon whose box is not near it, and edges stay inside an array, so no (point, edge) rows are
+made.
 """
 
 from __future__ import annotations
@@ -43,12 +45,50 @@ def polygon_areas(polygons: DataFrame, poly: str, wkt: str = "geometry_wkt") ->
     return rings.groupBy(poly).agg((F.sum(signed) / 1_000_000).alias("km2"))
 
 
+def _line(digits: int = 9) -> Column:
+    """The line that carries an edge, rounded: slope and height, or the x of an upright one."""
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    slope = F.when(dx != 0, dy / dx)
+    height = F.when(dx != 0, F.col("y1") - slope * F.col("x1")).otherwise(F.col("x1"))
+    # Minus zero is zero.
+    return F.struct((F.round(slope, digits) + 0.0).alias("slope"), (F.round(height, digits) + 0.0).alias("height"))
+
+
+def _split_edges(edges: DataFrame, poly: str) -> DataFrame:
+    """Edges cut where edges of other parts on the same line begin or end.
+
+    Parts of one geometry that touch along a piece of an edge then have that piece in common.
+    """
+    lined = edges.withColumn("line", _line())
+    end = F.explode(F.array(F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))))
+    ends = lined.select(F.col(poly).alias("_poly"), F.col("line").alias("_line"), F.col("part").alias("_part"), end.alias("at")).distinct()
+    ends = ends.select("_poly", "_line", "_part", "at.x", "at.y")
+    # Strictly between the edge's ends along the axis it is longer on.
+    along = F.abs(F.col("x2") - F.col("x1")) >= F.abs(F.col("y2") - F.col("y1"))
+
+    def between(v: str, a: str, b: str) -> Column:
+        return (F.col(v) > F.least(a, b)) & (F.col(v) < F.greatest(a, b))
+
+    cut = (F.col(poly) == F.col("_poly")) & F.col("line").eqNullSafe(F.col("_line")) & (F.col("part") != F.col("_part"))
+    cut = cut & F.when(along, between("x", "x1", "x2")).otherwise(between("y", "y1", "y2"))
+    own = [poly, "part", "ring", "x1", "y1", "x2", "y2"]
+    cuts = lined.join(ends, cut).groupBy(*own).agg(F.collect_set(F.struct("x", "y")).alias("cuts"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in own]
+    found = edges.join(cuts.select(*[F.col(c).alias(f"_{c}") for c in own], "cuts"), same, "left").select(*own, "cuts")
+    first, last = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")), F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    away = F.expr("transform(cuts, c -> named_struct('d', abs(c.x - x1) + abs(c.y - y1), 'x', c.x, 'y', c.y))")
+    inner = F.coalesce(F.transform(F.array_sort(away), lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"))), F.array().cast("array<struct<x:double,y:double>>"))
+    chain = found.withColumn("chain", F.concat(F.array(first), inner, F.array(last)))
+    pieces = F.explode(F.expr("transform(sequence(1, size(chain) - 1), i -> named_struct('x1', chain[i - 1].x, 'y1', chain[i - 1].y, 'x2', chain[i].x, 'y2', chain[i].y))"))
+    return chain.select(poly, "part", "ring", pieces.alias("e")).select(poly, "part", "ring", "e.*")
+
+
 def _marked_edges(polygons: DataFrame, poly: str, wkt: str) -> DataFrame:
     """Edges with ``shared``: the edge lies between two parts of the same geometry.
 
     The union of touching parts has no boundary there.
     """
-    edges = polygon_edges(polygons, poly, wkt)
+    edges = _split_edges(polygon_edges(polygons, poly, wkt), poly)
     one = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
     two = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
     same_side = Window.partitionBy(poly, F.least(one, two), F.greatest(one, two))
@@ -56,33 +96,46 @@ def _marked_edges(polygons: DataFrame, poly: str, wkt: str) -> DataFrame:
 
 
 def polygon_bands(polygons: DataFrame, poly: str, wkt: str = "geometry_wkt") -> DataFrame:
-    """Per polygon part, horizontal bands ``[lo, hi)`` with the edges that reach into them."""
+    """Per polygon part, horizontal bands with the edges that reach into them, and the box of those.
+
+    Limits are ends of edges: a band is ``[lo, hi)``, the last one ``[lo, hi]``.
+    """
     edges = _marked_edges(polygons, poly, wkt)
-    boxes = edges.groupBy(poly, "part").agg(
-        F.min("x1").alias("west"),
-        F.max("x1").alias("east"),
-        F.min("y1").alias("south"),
-        F.max("y1").alias("north"),
-        F.ceil(F.count("*") / BAND_EDGES).alias("bands"),
+    ranked = edges.withColumn("n", F.row_number().over(Window.partitionBy(poly, "part").orderBy("y1")))
+    cut = F.when((F.col("n") % BAND_EDGES == 0), F.col("y1"))
+    parts = ranked.groupBy(poly, "part").agg(
+        F.min(F.least("y1", "y2")).alias("south"), F.max(F.greatest("y1", "y2")).alias("north"), F.array_sort(F.collect_set(cut)).alias("cuts")
     )
-    height = (F.col("north") - F.col("south")) / F.col("bands")
-    banded = edges.join(boxes, [poly, "part"]).withColumn("height", F.greatest(height, F.lit(1e-12)))
-
-    def band(y: Column) -> Column:
-        return F.least(F.floor((y - F.col("south")) / F.col("height")), F.col("bands") - 1)
-
-    # One band more on either side: rounding must not lose an edge that ends on a band limit.
-    first = F.greatest(band(F.least("y1", "y2")) - 1, F.lit(0))
-    last = F.least(band(F.greatest("y1", "y2")) + 1, F.col("bands") - 1)
-    spread = banded.withColumn("band", F.explode(F.sequence(first, last)))
+    parts = parts.withColumn("cuts", F.expr("filter(cuts, c -> c > south AND c < north)"))
+    banded = edges.join(parts, [poly, "part"])
+    low, high = (F.expr(f"size(filter(cuts, c -> c <= {f}(y1, y2)))") for f in ("least", "greatest"))
+    spread = banded.withColumn("band", F.explode(F.sequence(low, high)))
     return (
-        spread.groupBy(poly, "part", "band", "west", "east", "south", "north", "height", "bands")
-        .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2", "shared")).alias("edges"))
-        .withColumn("lo", F.col("south") + F.col("band") * F.col("height"))
-        .withColumn("hi", F.least(F.col("south") + (F.col("band") + 1) * F.col("height"), F.col("north")))
+        spread.groupBy(poly, "part", "band")
+        .agg(
+            F.collect_list(F.struct("x1", "y1", "x2", "y2", "shared")).alias("edges"),
+            F.min(F.least("x1", "x2")).alias("west"),
+            F.max(F.greatest("x1", "x2")).alias("east"),
+            F.first(F.when(F.col("band") == 0, F.col("south")).otherwise(F.expr("get(cuts, band - 1)"))).alias("lo"),
+            F.first(F.when(F.col("band") == F.size("cuts"), F.col("north")).otherwise(F.expr("get(cuts, band)"))).alias("hi"),
+            F.first(F.col("band") == F.size("cuts")).alias("top"),
+        )
     )
 
 
+def _level(extent: Column) -> Column:
+    """The grid level whose cells are as large as the extent, less than twice as large at most."""
+    return F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(FLOOR_LEVEL)).cast("int")
+
+
+def filed_bands(bands: DataFrame) -> DataFrame:
+    """Bands with ``lx, ly, cx, cy``: the cells that their boxes touch, at levels of their own width and height."""
+    filed = bands.withColumns({"lx": _level(F.col("east") - F.col("west")), "ly": _level(F.col("hi") - F.col("lo"))})
+    for c, level, low, high in (("cx", "lx", "west", "east"), ("cy", "ly", "lo", "hi")):
+        filed = filed.withColumn(c, F.explode(F.sequence(_cell(F.col(low), F.col(level)), _cell(F.col(high), F.col(level)))))
+    return filed
+
+
 def _cell(v: Column, level: Column) -> Column:
     return F.floor(v / F.pow(F.lit(2.0), level))
 
@@ -105,31 +158,22 @@ def within_pairs(
 
     ``point`` is the unique id of a point; points without finite coordinates are in nothing.
     """
-    bands = polygon_bands(polygons, poly, wkt)
-    extent = F.greatest(F.col("east") - F.col("west"), F.col("hi") - F.col("lo"))
-    level = F.when(extent > 0, F.ceil(F.log2(extent))).otherwise(F.lit(FLOOR_LEVEL)).cast("int")
-    filed = bands.withColumn("level", level)
-    levels = [r["level"] for r in filed.select("level").distinct().orderBy("level").collect()]
-    if not levels:
-        return points.select(point, F.lit(None).cast(polygons.schema[poly].dataType).alias(poly)).where(F.lit(False))
-    filed = filed.withColumn(
-        "cx", F.explode(F.sequence(_cell(F.col("west"), F.col("level")), _cell(F.col("east"), F.col("level"))))
-    ).withColumn("cy", F.explode(F.sequence(_cell(F.col("lo"), F.col("level")), _cell(F.col("hi"), F.col("level")))))
-
-    finite = (F.abs(F.col(lon)) <= 1e9) & (F.abs(F.col(lat)) <= 1e9)
+    filed = filed_bands(polygon_bands(polygons, poly, wkt))
+    # The pairs of levels in use, as a value that the plan computes: nothing reaches the driver.
+    levels = filed.agg(F.collect_set(F.struct("lx", "ly"))).scalar()
+    finite = ~F.isnan(F.col(lon).cast("double")) & ~F.isnan(F.col(lat).cast("double"))
+    finite = finite & (F.abs(F.col(lon).cast("double")) < float("inf")) & (F.abs(F.col(lat).cast("double")) < float("inf"))
     placed = (
         points.where(finite)
         .select(F.col(point).alias("_point"), F.col(lon).cast("double").alias("px"), F.col(lat).cast("double").alias("py"))
-        .withColumn("level", F.explode(F.array(*[F.lit(v) for v in levels])))
-        .withColumn("cx", _cell(F.col("px"), F.col("level")))
-        .withColumn("cy", _cell(F.col("py"), F.col("level")))
+        .withColumn("level", F.explode(levels))
+        .select("_point", "px", "py", "level.lx", "level.ly")
+        .withColumn("cx", _cell(F.col("px"), F.col("lx")))
+        .withColumn("cy", _cell(F.col("py"), F.col("ly")))
     )
     px, py = F.col("px"), F.col("py")
-    # The point's band by the same arithmetic that filed the edges: exactly one band per part.
-    own_band = F.least(F.floor((py - F.col("south")) / F.col("height")), F.col("bands") - 1)
-    met = placed.join(filed, ["level", "cx", "cy"]).where(
-        px.between(F.col("west"), F.col("east")) & py.between(F.col("south"), F.col("north")) & (own_band == F.col("band"))
-    )
+    own_band = (py >= F.col("lo")) & ((py < F.col("hi")) | F.col("top") & (py <= F.col("hi")))
+    met = placed.join(filed, ["lx", "ly", "cx", "cy"]).where(px.between(F.col("west"), F.col("east")) & own_band)
     judged = met.withColumn("touching", F.expr(_TOUCHED)).select(
         "_point",
         poly,
