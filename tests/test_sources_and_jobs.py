@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmill.catalogue import entries
 from tripmill.operators.checks import CheckFailed
-from tripmill.plans import dims, jobs
+from tripmill.plans import dims, extracts, jobs
 from tripmill.session import new_folder, shared_folder
 from tripmill.sources import landing
 from tripmill.sources.warehouse import Warehouse
@@ -113,6 +113,52 @@ def test_upsert_by_day_moves_rows_and_drops_empty_days(spark, wh):
         wh.upsert(table, trip(spark, [("q", DAY, 1.0, 1), ("q", DAY, 2.0, 1)]))
 
 
+def test_a_merge_that_stops_half_way_is_finished_on_opening(spark, wh, monkeypatch):
+    table, d = "fact_tables.fact_trips", dt.timedelta(days=1)
+    wh.upsert(table, trip(spark, [("m1", DAY, 1.0, 1), ("m2", DAY + d, 2.0, 2), ("m3", DAY + 2 * d, 3.0, 3)]))
+    wh.create(table)  # nothing to finish
+    whole, switched = wh.read(table).count(), []
+    plain = Warehouse._switch_days
+
+    def stops(self, table, switches):
+        plain(self, table, switches[:1])
+        switched.extend(switches)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(Warehouse, "_switch_days", stops)
+    with pytest.raises(RuntimeError):
+        wh.upsert(table, trip(spark, [("m1", DAY + 2 * d, 10.0, 1), ("m3", DAY, 30.0, 3)]))
+    assert len(switched) == 2
+    monkeypatch.setattr(Warehouse, "_switch_days", plain)
+    again = Warehouse(spark, wh.root, wh.prefix)
+    again.create(table)
+    rows = {r["trip_id"]: (r["event_date"], r["fare"]) for r in again.read(table).where("trip_id LIKE 'm%'").collect()}
+    assert rows == {"m1": ((DAY + 2 * d).date(), 10.0), "m2": ((DAY + d).date(), 2.0), "m3": (DAY.date(), 30.0)}
+    assert again.read(table).count() == whole
+
+
+def test_an_extract_reads_its_days_only(spark, sf):
+    folder = new_folder(spark, "by-day")
+    landing.land_by_day(entries.td.raw_trips(spark, sf), "trip_start_timestamp", folder)
+    raw = landing.read_records(spark, folder, landing.TRIP_FIELDS)
+    assert raw.count() == spark.read.parquet(f"{sf}/events.parquet").count()
+    one = extracts.extract_trips(raw, "2024-01-03T00:00:00", "2024-01-03T23:59:59", "b")
+    days = {f.split("landed_day=")[1][:10] for f in one.inputFiles()}
+    text = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed_day" in text and len(days) > 20
+    files = [r[0] for r in raw.where("landed_day = DATE'2024-01-03'").select(F.input_file_name()).distinct().collect()]
+    assert files and all("landed_day=2024-01-03" in f for f in files)
+    flat = extracts.extract_trips(entries.td.raw_trips(spark, sf), "2024-01-03T00:00:00", "2024-01-03T23:59:59", "b")
+    assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, flat.collect()), key=repr)
+
+
+def test_an_unknown_region_fails_the_load(spark, wh, monkeypatch):
+    with pytest.raises(CheckFailed, match="region_id is not in traffic_regions"):
+        wh.create()
+        wh.append("staging.stg_raw_traffic", traffic(spark, [("unknown-region", DAY, 4711, 1.0)]))
+        jobs._facts(wh, DAY.date().isoformat() + "T00:00:00", (DAY + dt.timedelta(days=1)).date().isoformat() + "T00:00:00")
+
+
 def test_traffic_upsert_keeps_time(spark, wh):
     table = "fact_tables.fact_traffic"
     wh.upsert(table, traffic(spark, [("a", DAY, 1, 1.0)]))

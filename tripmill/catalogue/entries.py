@@ -1146,8 +1146,8 @@ def mart_refresh(spark, sf):
 def _landed(spark: SparkSession, sf: str) -> jobs.Landed:
     """The three feeds as landed JSON, read back as raw frames."""
     trips, traffic, weather = (new_folder(spark, f"landed-{n}") for n in ("trips", "traffic", "weather"))
-    td.raw_trips(spark, sf).write.json(trips)
-    td.raw_traffic(spark, sf).write.json(traffic)
+    landing.land_by_day(td.raw_trips(spark, sf), "trip_start_timestamp", trips)
+    landing.land_by_day(td.raw_traffic(spark, sf), "time", traffic)
     td.weather_payloads(spark, sf).write.partitionBy("station_id").text(weather)
     return jobs.Landed(
         landing.read_records(spark, trips, landing.TRIP_FIELDS),

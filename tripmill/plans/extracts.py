@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.instants import as_ntz
 from tripmill.functions.typing import cast_double, cast_frame, cast_timestamp, finite
 from tripmill.plans.schemas import TRAFFIC, TRAFFIC_BOX, TRIPS, WEATHER
+from tripmill.sources.landing import LANDED_DAY
 
 # Dates of the extracts, and the sample and limit that a caller may ask for.
 START_DATE = "2025-09-01T00:00:00.000"
@@ -26,7 +27,13 @@ def add_created_at(df: DataFrame) -> DataFrame:
 
 
 def in_closed_range(df: DataFrame, time: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Both ends included; ``time`` may still be text."""
+    """Both ends included; ``time`` may still be text.
+
+    What was landed in folders by the day of ``time`` is read from the folders of the range only.
+    """
+    if LANDED_DAY in df.columns:
+        first, last = (F.lit((v or d)[:10]).cast("date") for v, d in ((start, START_DATE), (end, END_DATE)))
+        df = df.where(F.col(LANDED_DAY).between(first, last))
     at = cast_timestamp(F.col(time)) if dict(df.dtypes)[time] == "string" else F.col(time)
     return df.where(at.between(as_ntz(start or START_DATE), as_ntz(end or END_DATE)))
 

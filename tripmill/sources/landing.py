@@ -27,13 +27,24 @@ TRAFFIC_FIELDS = [
 DAY_FIELDS = ["datetime", "temp", "feelslike", "precipprob", "windspeed", "winddir", "conditions"]
 
 
+#: Folders of a feed by the day of its records: ``landed_day=2025-09-01``.
+LANDED_DAY = "landed_day"
+
+
+def land_by_day(records: DataFrame, time: str, path: str) -> None:
+    """Records as JSON lines in a folder for each day of ``time``; those without a day are kept apart."""
+    day = F.substring(F.col(time), 1, 10).try_cast("date")
+    records.withColumn(LANDED_DAY, day).hint("rebalance", LANDED_DAY).write.partitionBy(LANDED_DAY).json(path)
+
+
 def read_records(spark: SparkSession, path: str, fields: list[str], whole_files: bool = False) -> DataFrame:
     """Records of a response that is a list of objects; anything else in the response is no data.
 
     The list is an array (``whole_files``) or one object per line. Nested values arrive as JSON text.
+    Folders by day (:func:`land_by_day`) add the column LANDED_DAY, by which an extract reads only its days.
     """
     df = spark.read.schema(string_schema(fields)).json(path, multiLine=whole_files)
-    return df.na.drop(how="all")
+    return df.na.drop(how="all", subset=fields)
 
 
 def read_weather(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:

@@ -1,8 +1,12 @@
 """Tables: catalogue entries over parquet folders.
 
-Every rewrite goes to a folder nothing reads yet and is then switched in by one catalogue command, so
-readers see the table before or after, and no job reads files it is overwriting. The big tables are
-partitioned by day and an upsert rewrites only the days it touches. One writer per table.
+Every rewrite goes to a folder nothing reads yet and is then switched in, so no job reads files it is
+overwriting. A table without days is switched by one catalogue command: readers see it before or after.
+The big tables are partitioned by day and an upsert rewrites only the days it touches, which are switched
+one by one: a reader in between sees some days before and others after. The switches are written to a
+journal first; if a driver is lost between them, the next ``create`` finishes them. An append adds to the
+live folder of a table, after its key is checked. One writer per table. Batches, scratch and replaced
+versions stay until the storage's own retention rule removes them.
 
 Tables last as long as the catalogue does: use a session with a persistent one on a cluster.
 """
@@ -12,6 +16,7 @@ from __future__ import annotations
 import logging
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +27,7 @@ from tripmill.plans.schemas import DAY, EVENT_TIME, KEYS, TABLES, UPDATES
 
 log = logging.getLogger(__name__)
 
+JOURNAL = "plan string, spec string, place string"
 SCHEMAS = ("staging", "dim_spatial", "fact_tables", "datamarts")
 
 
@@ -39,6 +45,8 @@ class Warehouse:
         for table in tables or TABLES:
             if not self.spark.catalog.tableExists(self.name(table)):
                 self._define(table, self._folder(table))
+            elif table in EVENT_TIME:
+                self.finish(table)
 
     def drop(self) -> None:
         """Forget the tables; files stay."""
@@ -159,13 +167,49 @@ class Warehouse:
         # Spark splits a full day over several tasks and puts small days together, by measured size.
         merged.hint("rebalance", DAY).write.partitionBy(DAY).parquet(folder)
         written = {r[DAY] for r in self.spark.read.schema(self.schema(table)).parquet(folder).select(DAY).distinct().collect()}
+        switches = []
         for day in sorted(days, key=str):
             spec = f"{DAY} = DATE'{day}'" if day is not None else f"{DAY} = NULL"
             label = day if day is not None else "__HIVE_DEFAULT_PARTITION__"
-            if day in written:
-                place = f"{folder}/{DAY}={label}"
+            switches.append((spec, f"{folder}/{DAY}={label}" if day in written else None))
+        self._journalled(table, switches)
+
+    def _journalled(self, table: str, switches: list[tuple[str, str | None]]) -> None:
+        plan = uuid.uuid4().hex
+        rows = [(plan, spec, place) for spec, place in switches]
+        # Before the first plan: the list of finished ones, still empty.
+        self.spark.createDataFrame([], "plan string").write.mode("append").parquet(self._journal(table, "done"))
+        self.spark.createDataFrame(rows, JOURNAL).coalesce(1).write.mode("append").parquet(self._journal(table, "plans"))
+        self._switch_days(table, switches)
+        self._done(table, plan)
+
+    def finish(self, table: str) -> None:
+        """Carry out the switches of a merge that was stopped half way; repeating them does no harm."""
+        try:
+            plans = self.spark.read.schema(JOURNAL).parquet(self._journal(table, "plans"))
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return  # no merge yet
+            raise
+        done = self.spark.read.schema("plan string").parquet(self._journal(table, "done"))
+        left: dict[str, list] = {}
+        for r in plans.join(done, "plan", "left_anti").collect():
+            left.setdefault(r["plan"], []).append((r["spec"], r["place"]))
+        for plan, switches in left.items():
+            self._switch_days(table, switches)
+            self._done(table, plan)
+
+    def _journal(self, table: str, part: str) -> str:
+        return f"{self.root}/journal/{table}/{part}"
+
+    def _done(self, table: str, plan: str) -> None:
+        self.spark.createDataFrame([(plan,)], "plan string").coalesce(1).write.mode("append").parquet(self._journal(table, "done"))
+
+    def _switch_days(self, table: str, switches: list[tuple[str, str | None]]) -> None:
+        for spec, place in switches:
+            if place is None:
+                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
+            else:
                 self.spark.sql(f"ALTER TABLE {self.name(table)} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
                 self.spark.sql(f"ALTER TABLE {self.name(table)} PARTITION ({spec}) SET LOCATION '{place}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({spec})")
         self.spark.catalog.refreshTable(self.name(table))
