@@ -25,5 +25,5 @@ def test_query(spark, con, name):
     assert ok, note
 
 
-def test_nearly_all_have_sql():
-    assert set(QUERIES) - set(ORACLES) == {"voronoi_zones"}
+def test_all_have_sql():
+    assert set(QUERIES) == set(ORACLES)

@@ -1016,9 +1016,37 @@ def city_boundary_table(spark, sf):
     return inside.join(city, "boundary_id").select("location_id", "city_name", "area_km2", "crs")
 
 
-@query("voronoi_zones")
+# Corners of a zone are centres of circles through three sites, crossings of a bisector with the frame, or
+# corners of the frame: those with no site nearer than the zone's own. Metres from a point in the city.
+_ZONES = f"""WITH p AS (SELECT station_id AS id, {_utm('longitude', 'latitude')[0]} - 445000 AS x,
+        {_utm('longitude', 'latitude')[1]} - 4635000 AS y FROM sites WHERE longitude IS NOT NULL),
+    b AS (SELECT {_utm('x1', 'y1')[0]} - 445000 AS x, {_utm('x1', 'y1')[1]} - 4635000 AS y FROM city_edges),
+    g AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, greatest(max(x) - min(x), max(y) - min(y)) AS m FROM p),
+    f AS (SELECT least(x0 - m, (SELECT min(x) FROM b)) AS x0, greatest(x1 + m, (SELECT max(x) FROM b)) AS x1,
+        least(y0 - m, (SELECT min(y) FROM b)) AS y0, greatest(y1 + m, (SELECT max(y) FROM b)) AS y1 FROM g),
+    two AS (SELECT a.id, a.x, a.y, c.id AS jd, c.x - a.x AS ux, c.y - a.y AS uy FROM p a JOIN p c ON a.id <> c.id),
+    three AS (SELECT u.id, u.x, u.y, 2 * (u.ux * v.uy - u.uy * v.ux) AS d, u.ux AS ux, u.uy AS uy, v.ux AS vx, v.uy AS vy,
+        u.ux ** 2 + u.uy ** 2 AS bb, v.ux ** 2 + v.uy ** 2 AS cc FROM two u JOIN two v ON u.id = v.id AND u.jd < v.jd),
+    spots AS (
+        SELECT id, x, y, x + (vy * bb - uy * cc) / d AS px, y + (ux * cc - vx * bb) / d AS py FROM three WHERE d <> 0
+        UNION ALL SELECT id, x, y, w.v, y + ((ux ** 2 + uy ** 2) / 2 - ux * (w.v - x)) / uy
+            FROM two, (SELECT x0 AS v FROM f UNION ALL SELECT x1 FROM f) w WHERE uy <> 0
+        UNION ALL SELECT id, x, y, x + ((ux ** 2 + uy ** 2) / 2 - uy * (w.v - y)) / ux, w.v
+            FROM two, (SELECT y0 AS v FROM f UNION ALL SELECT y1 FROM f) w WHERE ux <> 0
+        UNION ALL SELECT id, x, y, w.v, z.v FROM p, (SELECT x0 AS v FROM f UNION ALL SELECT x1 FROM f) w,
+            (SELECT y0 AS v FROM f UNION ALL SELECT y1 FROM f) z),
+    corners AS (SELECT DISTINCT id, x, y, round(px, 4) AS px, round(py, 4) AS py FROM spots s, f
+        WHERE px BETWEEN f.x0 - 1e-5 AND f.x1 + 1e-5 AND py BETWEEN f.y0 - 1e-5 AND f.y1 + 1e-5 AND NOT EXISTS (SELECT 1 FROM p k
+            WHERE sqrt((k.x - px) ** 2 + (k.y - py) ** 2) < sqrt((s.x - px) ** 2 + (s.y - py) ** 2) - 1e-5)),
+    rings AS (SELECT id, px, py, coalesce(lead(px) OVER w, first_value(px) OVER w) AS qx, coalesce(lead(py) OVER w, first_value(py) OVER w) AS qy
+        FROM corners WINDOW w AS (PARTITION BY id ORDER BY atan2(py - y, px - x)))
+    SELECT id AS station_id, round(abs(sum(px * qy - qx * py)) / 2e6, 2) AS area_km2, count(*) AS n_corners FROM rings GROUP BY id"""
+
+
+@query("voronoi_zones", f"SELECT * FROM ({_ZONES})")
 def voronoi_zones_query(spark, sf):
-    return voronoi_zones(td.sites(spark, sf), boundary(spark, sf))
+    zones_ = voronoi_zones(td.sites(spark, sf), boundary(spark, sf))
+    return zones_.select("station_id", "area_km2", (F.regexp_count("geometry_wkt", F.lit(","))).cast("bigint").alias("n_corners"))
 
 
 def _check(name: str, table: str, bad: str) -> str:

@@ -45,6 +45,7 @@ def nearest_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
     return asof_nearest(trips, weather, "station_id", "trip_start_timestamp", "datetime", "record_id", payload)
 
 
+# Columns of the marts.
 ENRICHED = [
     "trip_id", "trip_start_timestamp", "pickup_location_id",
     "pickup_traffic_region_id", "traffic_speed", "traffic_num_reads",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Fixed values, here and below: names, types and order of columns.
 # Raw feeds: column -> kind understood by ``cast_frame``. The order is the order of the extract.
 TRIPS = {
     "trip_id": "string",

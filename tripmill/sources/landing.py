@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tripmill.functions.places import latlon_text, record_key
 from tripmill.functions.typing import string_schema
 
-# Columns as the feeds deliver them.
+# Columns as the feeds deliver them.
 TRIP_FIELDS = [
     "trip_id", "trip_start_timestamp", "trip_end_timestamp", "trip_seconds", "trip_miles",
     "percent_time_chicago", "percent_distance_chicago", "shared_trip_authorized", "trips_pooled",
