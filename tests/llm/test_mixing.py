@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -24,6 +26,36 @@ def filled(sizes: dict) -> dict:
     return target
 
 
+def brute(rows):
+    """How often each row is taken: keys sorted within the source, words summed one by one."""
+    sized = [len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in rows]
+    sizes = defaultdict(int)
+    for r, n in zip(rows, sized, strict=True):
+        sizes[r["source"]] += n
+    target, by_source, taken = filled(sizes), defaultdict(list), [0] * len(rows)
+    for i, (r, n) in enumerate(zip(rows, sized, strict=True)):
+        text = r["text"] or ""
+        name = "" if r["doc_id"] is None else str(r["doc_id"])
+        digest = hashlib.md5(f"{name}:{hashlib.md5(text.encode()).hexdigest()}".encode()).hexdigest()
+        u = (int(digest[:13], 16) + 0.5) / 2**52
+        good = max(0.05, 1 - sum(text.count(c) for c in "#*$%&|<>") / max(n, 1))
+        by_source[r["source"]].append((-math.log(u) / good, r["doc_id"] is None, r["doc_id"] or 0, i))
+    for source, keys in by_source.items():
+        whole = int(target[source] // sizes[source]) if sizes[source] else 0
+        left, past = target[source] - whole * sizes[source], 0
+        for *_, i in sorted(keys):
+            past += sized[i]
+            taken[i] = whole + (sized[i] > 0 and past - sized[i] / 2 < left)
+    return taken
+
+
+def test_takes_by_brute_force(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = docs.collect()
+    want = Counter((r["doc_id"], n) for r, n in zip(rows, brute(rows), strict=True))
+    assert Counter((r["doc_id"], r["epochs"]) for r in mixing.mix(docs).collect()) == want
+
+
 def test_targets_and_takes(edges, nothing):
     rows = mixing.mix(edges).collect()
     sizes = defaultdict(int)

@@ -162,6 +162,8 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float = SWITCH) ->
 def spans(texts: list[str | None], words: Words) -> list:
     """Per text, its words, the place of each word's language, and the words' scores; None without a word."""
     found = [_WORD.findall((t or "").lower()) for t in texts]
+    # Signs such as a raised 2 count as word characters, but a text of them alone has no letter.
+    found = [w if any(c.isalpha() for x in w for c in x) else [] for w in found]
     out: list = [None] * len(texts)
     if not words.langs:
         return out
