@@ -44,7 +44,7 @@ PERCENT = 75
 #: A shingle in over 1 / HOT_PARTS of the sets (and HOT_LEAST sets) is known to every task.
 HOT_PARTS, HOT_LEAST, LOCAL_LEAST = 4096, 1000, 4
 #: Shingles posted at once by a task, and in a bucket on average.
-CHUNK, BUCKET = 2_000_000, 2_000_000
+CHUNK, BUCKET = 1_000_000, 1_500_000
 #: Cost of a list entry, in subsets: sets that share one class are tied more often without a link.
 LOOSE = 2.0
 #: Sets in a block of a large group.

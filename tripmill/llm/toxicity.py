@@ -46,6 +46,7 @@ SUPPORT, SUPPORT_SHARE, IMPURITY = 3, 0.004, 0.2
 #: What a clean row with the entry takes from its gain, in toxic rows.
 PENALTY = 10
 STEMS = range(4, 11)
+CELLS = 1 << 23
 SEED = {"idiot": 4.0, "moron": 4.0, "scum": 4.0, "worthless": 3.0, "stupid": 3.0}
 
 #: Word classes besides the insults, in four languages.
@@ -171,8 +172,12 @@ def learn(rows: list[tuple[int, str]], ratio: float) -> dict:
     toxic, clean = [t for y, t in rows if y], [t for y, t in rows if not y]
     if not toxic or not clean:
         return {"lexicon": SEED, "coefficients": PRIOR.tolist()}
-    counts = Counter(e for t in toxic for e in entries(t))
     least = max(SUPPORT, math.ceil(SUPPORT_SHARE * len(toxic)))
+    # Most entries are rare: cells by hash count no less than their entries, so only the others are kept.
+    cells = np.zeros(CELLS, dtype=np.int32)
+    for t in toxic:
+        np.add.at(cells, [hash(e) % CELLS for e in entries(t)], 1)
+    counts = Counter(e for t in toxic for e in entries(t) if cells[hash(e) % CELLS] >= least)
     counts = {e: n for e, n in counts.items() if n >= least}
     misses = Counter(e for t in clean for e in entries(t) if e in counts)
     allowed = {e for e, n in counts.items() if misses[e] / len(clean) <= IMPURITY * n / len(toxic)}
