@@ -6,7 +6,8 @@ itself. Viterbi finds the labels of all words that are best together, where ever
 costs SWITCH. The document's language is the one whose spans hold the most letters.
 
 Learning counts n-grams in at most SAMPLE documents of each language, in the order of a digest of their
-id, and never in held-out ones.
+id, and never in held-out ones. One row per language and the sample's ids are sent to every task; labels
+name languages, so both are small.
 
 Defined results: null texts, and texts without a letter, are ``und`` with score 0. Words whose script no
 language was learned with take any language; if that is all there is, the languages' shares among the
@@ -207,15 +208,19 @@ def predict(texts: list[str | None], words: Words, shares: list[float]) -> list[
 
 def train(docs: DataFrame) -> dict:
     """The model, learned in one task from a bounded sample; the driver gets the n-gram table."""
-    known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     digest = F.md5(F.col("doc_id").cast("string").cast("binary"))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(2**52)
-    known = known.select("doc_id", "lang", "text", draw.alias("draw"))
+    # The sample is drawn among ids; texts do not move but for those of the sample.
+    known = known.select("doc_id", "lang", draw.alias("draw"))
     sizes = known.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("l"), "n")
     # A share of each language that leaves about twice SAMPLE, then exactly SAMPLE in order of the draw.
-    near = known.join(sizes, F.col("l") == F.col("lang")).where(F.col("draw") * F.col("n") < 2 * SAMPLE).drop("l", "n")
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
-    rows = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE).select("lang", "text")
+    near = known.join(F.broadcast(sizes), F.col("l") == F.col("lang")).where(F.col("draw") * F.col("n") < 2 * SAMPLE)
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    drawn = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLE)
+    drawn = drawn.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    texts = docs.select("doc_id", "lang", "text").where(F.col("text").isNotNull())
+    rows = texts.join(F.broadcast(drawn), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select("lang", "text")
 
     def batches(parts):
         got = [(x, t) for part in parts for x, t in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True)]
