@@ -85,3 +85,34 @@ def test_query_scores_whole_texts(spark, sf):
     rows = {r["doc_id"]: r["n_words"] for r in QUERIES["op2_lm_scoring"](spark, sf).collect()}
     want = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     assert rows == want
+
+
+def text_rows(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+
+
+def test_shares_of_each_class_sum_to_one(spark):
+    texts = [" ".join(f"w{i}" for i in range(k, k + 1000)) for k in range(0, 4000, 500)]
+    words = lm.vocabulary(lm.word_counts(text_rows(spark, texts)).cache())
+    hashes = word_hashes(" ".join(f"w{i}" for i in range(4500)))
+    places = words.places(hashes)
+    classes = words.classes(places, lm.word_lengths(" ".join(f"w{i}" for i in range(4500))))
+    shares = np.bincount(classes, weights=np.exp(words.within(places, classes)), minlength=lm.CLASSES)
+    assert np.allclose(shares[np.unique(classes)], 1)
+
+
+def test_words_of_the_tail_take_their_exact_counts(spark, monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(lm, "TAIL", 500)
+    texts = [" ".join(rng.choice(["a", "b", f"r{rng.randrange(400)}", f"once{i}x{k}"]) for k in range(40)) for i in range(60)]
+    docs, n = text_rows(spark, [*texts, "", "a b"]), Counter(w for t in [*texts, "a b"] for w in t.split())
+    counts = lm.word_counts(docs).cache()
+    words = lm.vocabulary(counts)
+    assert 0 < len(words.head) < len(n)
+    net = lm.initial(words.sizes)
+    got = {r["doc_id"]: r["pseudo_ll"] for r in lm.score(docs, words, net, counts).collect()}
+    for i, text in enumerate([*texts, "", "a b"]):
+        _, _, classes = words.of(text)
+        want = lm.log_probabilities(net, lm.windows(classes, np.arange(len(classes))), classes).sum() if text else 0.0
+        want += sum(np.log(n[w] / words.sizes[c]) for w, c in zip(text.split(), classes, strict=True) if c >= lm.FREQUENT)
+        assert abs(got[i] - want) < 1e-3

@@ -3,18 +3,20 @@
 Words are split at white space and lower-cased in A-Z. All words of the corpus are counted. The network
 works on classes of words: each of the most frequent words is a class, the others share classes by
 frequency and length. Log P(word | sides) is log P(class | sides), from the network, plus log P(word |
-class), from the counts, which are kept in a table of CELLS cells by hash.
+class), from the exact counts. Words with more than one TAIL-th of all words are sent to every task (there
+are fewer than TAIL of them whatever the corpus). All rarer words are of the lowest band, so their classes
+need no counts; theirs are joined to the documents by word.
 
 The network adds one row of a table per position in the window (SIDE words to the left and right; the
 word itself is masked, the text's edges are a class of their own), a tanh layer and a softmax. It is
 trained in ROUNDS rounds: every task goes once over its own texts, a window at every STRIDE-th word of
 every text, and the weights of all tasks are averaged by their numbers of windows. What is gathered
 (counts of words, windows trained on, weights of tasks) grows with the corpus; what reaches the driver
-does not (classes, cells and one set of weights).
+does not (classes, fewer than TAIL words and one set of weights).
 
 Defined results: null, empty and blank texts have no words, a sum of 0 and a null mean. Null ids and
 repeated rows are documents like others. An empty corpus gives an empty result. Reruns over the same
-files and splits agree; other splits train other averages.
+files and splits agree but for the rounding of sums; other splits train other averages.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ FREQUENT, BANDS, LENGTHS = 96, 6, 5
 EDGE = FREQUENT + BANDS * LENGTHS
 CLASSES = EDGE + 1
 SIDE, HIDDEN = 3, 24
-CELLS = 1 << 18
+#: The lowest band begins where a word is at most one TAIL-th of all words: see ``bands``.
+TAIL = 1 << 3 * (BANDS + 1)
 #: Training: rounds over all texts, words from one window to the next, windows a step, step size.
 ROUNDS, STRIDE, STEP_WINDOWS, RATE = 2, 16, 256, 0.1
 #: Words scored at once; words counted before counts are sent on.
@@ -49,36 +52,48 @@ def word_lengths(text: str) -> np.ndarray:
     return edges[1::2] - edges[::2]
 
 
+def bands(n: np.ndarray, total: float) -> np.ndarray:
+    return np.clip(np.log2(total / n).astype(np.int64) // 3 - 2, 0, BANDS - 1)
+
+
 class Words:
     """Classes of words, and log P(word | class)."""
 
-    def __init__(self, frequent: np.ndarray, cells: np.ndarray):
-        """``frequent``: hashes of the frequent words; ``cells``: counts by hash."""
-        self.order = np.argsort(frequent)
-        self.frequent = frequent[self.order]
-        self.cells, self.total = cells, max(1.0, float(cells.sum()))
-        self.sizes = np.ones(CLASSES)
-
-    def counts(self, hashes: np.ndarray) -> np.ndarray:
-        return np.maximum(self.cells[(hashes % np.uint64(CELLS)).astype(np.int64)], 1.0)
-
-    def classes(self, hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        rare = np.clip(np.log2(self.total / self.counts(hashes)).astype(np.int64) // 3 - 2, 0, BANDS - 1)
-        long = np.clip(lengths // 3, 0, LENGTHS - 1)
-        found = FREQUENT + rare * LENGTHS + long
-        if len(self.frequent):
-            at = np.minimum(np.searchsorted(self.frequent, hashes), len(self.frequent) - 1)
-            found = np.where(self.frequent[at] == hashes, self.order[at], found)
-        return found
-
-    def within(self, hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """log P(word | class); one word is all of a frequent word's class."""
-        share = np.log(np.minimum(self.counts(hashes) / self.sizes[classes], 1.0))
-        return np.where(classes < FREQUENT, 0.0, share)
-
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self, frequent: np.ndarray, head: np.ndarray, lengths: np.ndarray, counts: np.ndarray, total: int):
+        """``frequent``: hashes of the frequent words; ``head``: hashes of all words that are sent to the tasks."""
+        order = np.argsort(head)
+        self.head, counts = head[order], counts[order].astype(float)
+        self.log_n = np.log(np.maximum(counts, 1.0))
+        self.own = self.shared(bands(np.maximum(counts, 1.0), max(1.0, float(total))), lengths[order])
+        if len(frequent):
+            self.own[np.searchsorted(self.head, frequent)] = np.arange(len(frequent))
+        self.total, self.sizes = total, np.ones(CLASSES)
+
+    @staticmethod
+    def shared(band: np.ndarray | int, lengths: np.ndarray) -> np.ndarray:
+        return FREQUENT + band * LENGTHS + np.clip(lengths // 3, 0, LENGTHS - 1)
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Places in the head; -1 for words of the tail."""
+        if not len(self.head):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
+        return np.where(self.head[at] == hashes, at, -1)
+
+    def classes(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        tail = self.shared(BANDS - 1, lengths)
+        return np.where(places < 0, tail, self.own[places]) if len(self.head) else tail
+
+    def within(self, places: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """log P(word | class), for words of the tail without their log n; one word is all of a frequent word's class."""
+        log_n = np.where(places < 0, 0.0, self.log_n[places]) if len(self.head) else 0.0
+        return np.where(classes < FREQUENT, 0.0, log_n - np.log(self.sizes[classes]))
+
+    def of(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes, places in the head and classes of a text's words."""
         hashes = word_hashes(text)
-        return hashes, self.classes(hashes, word_lengths(text))
+        places = self.places(hashes)
+        return hashes, places, self.classes(places, word_lengths(text))
 
 
 def initial(prior: np.ndarray) -> dict[str, np.ndarray]:
@@ -167,20 +182,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.min("length").alias("length"), F.sum("n").alias("n"))
 
 
+def above_tail(counts: DataFrame, total: int) -> DataFrame:
+    return counts.where(F.col("n") * TAIL > total)
+
+
 def vocabulary(counts: DataFrame) -> Words:
-    """From stored counts: the frequent words, the cells and the sizes of classes reach the driver."""
-    top = counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow().column("word").to_numpy().view(np.uint64)
-    # The cell of an unsigned hash; Spark's numbers are signed.
-    cell = F.expr(f"word & {CELLS - 1}")
-    found = counts.groupBy(cell.alias("cell")).agg(F.sum("n").alias("n")).toArrow()
-    cells = np.zeros(CELLS)
-    cells[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    words = Words(top, cells)
+    """From stored counts: the words above the tail and the sizes of classes reach the driver."""
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    top = counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow()
+    head = pa.concat_tables([top, above_tail(counts, total).toArrow()])
+    word, first = np.unique(head.column("word").to_numpy().view(np.uint64), return_index=True)
+    lengths, n = (head.column(c).to_numpy()[first] for c in ("length", "n"))
+    words = Words(top.column("word").to_numpy().view(np.uint64), word, lengths, n, total)
     shared = counts.sparkSession.sparkContext.broadcast(words)
 
     def batches(parts):
         for part in parts:
-            own = shared.value.classes(part.column("word").to_numpy().view(np.uint64), part.column("length").to_numpy())
+            places = shared.value.places(part.column("word").to_numpy().view(np.uint64))
+            own = shared.value.classes(places, part.column("length").to_numpy())
             n = np.bincount(own, weights=part.column("n").to_numpy(), minlength=CLASSES).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(n)], names=["class", "n"])
 
@@ -203,7 +222,7 @@ def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.n
             held, size, seen = [], 0, 0
             for part in parts:
                 for text in part.column("text"):
-                    _, classes = known.of(text.as_py() or "")
+                    *_, classes = known.of(text.as_py() or "")
                     # Each round has its own words: shifted by a part of the stride.
                     centres = np.arange((turn * STRIDE // rounds) % max(1, min(STRIDE, len(classes))), len(classes), STRIDE)
                     if not len(centres):
@@ -235,8 +254,11 @@ def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.n
     return net
 
 
-def score(docs: DataFrame, words: Words, net: dict[str, np.ndarray]) -> DataFrame:
-    """One row per document: doc_id, n_words, pseudo_ll (sum of log-probabilities), mean_ll."""
+def score(docs: DataFrame, words: Words, net: dict[str, np.ndarray], counts: DataFrame | None = None) -> DataFrame:
+    """One row per document: doc_id, n_words, pseudo_ll (sum of log-probabilities), mean_ll.
+
+    ``counts``: the stored counts of words; without them, all words must be in the head of ``words``.
+    """
     context = docs.sparkSession.sparkContext
     shared_words, shared_net = context.broadcast(words), context.broadcast(flat(net))
 
@@ -244,19 +266,27 @@ def score(docs: DataFrame, words: Words, net: dict[str, np.ndarray]) -> DataFram
         known, own = shared_words.value, shaped(shared_net.value)
 
         def one(text):
-            hashes, classes = known.of(text or "")
-            total = float(known.within(hashes, classes).sum())
+            hashes, places, classes = known.of(text or "")
+            total = float(known.within(places, classes).sum())
             for at in range(0, len(classes), BATCH):
                 centres = np.arange(at, min(at + BATCH, len(classes)))
                 total += float(log_probabilities(own, windows(classes, centres), classes[centres]).sum())
-            return len(classes), total
+            return len(classes), total, hashes[places < 0].view(np.int64)
 
-        yield from per_text(one, ["doc_id"], ["n_words", "pseudo_ll"])(parts)
+        yield from per_text(one, ["doc_id"], ["n_words", "pseudo_ll", "tail"])(parts)
 
-    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text").mapInArrow(batches, "doc_id bigint, n_words bigint, pseudo_ll double")
-    return rows.withColumn("mean_ll", F.expr("CASE WHEN n_words > 0 THEN pseudo_ll / n_words END"))
+    schema = "doc_id bigint, n_words bigint, pseudo_ll double, tail array<bigint>"
+    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text").mapInArrow(batches, schema)
+    if counts is not None and not counts.where(f"n * {TAIL} <= {int(words.total)}").isEmpty():
+        # Documents have no key of their own; the stored one stays as it is. Words seen once have a log n of 0.
+        rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "lm-tail")
+        seen = counts.where("n > 1").select("word", F.log("n").alias("log_n"))
+        sums = rows.select("row", F.explode("tail").alias("word")).join(seen, "word").groupBy("row").agg(F.sum("log_n").alias("more"))
+        rows = rows.join(sums, "row", "left").withColumn("pseudo_ll", F.expr("pseudo_ll + coalesce(more, 0D)"))
+    return rows.selectExpr("doc_id", "n_words", "pseudo_ll", "CASE WHEN n_words > 0 THEN pseudo_ll / n_words END AS mean_ll")
 
 
 def score_corpus(docs: DataFrame) -> DataFrame:
-    words = vocabulary(stored(word_counts(docs), "lm-words"))
-    return score(docs, words, train(docs, words))
+    counts = stored(word_counts(docs), "lm-words")
+    words = vocabulary(counts)
+    return score(docs, words, train(docs, words), counts)
