@@ -116,3 +116,17 @@ def test_words_of_the_tail_take_their_exact_counts(spark, monkeypatch):
         want = lm.log_probabilities(net, lm.windows(classes, np.arange(len(classes))), classes).sum() if text else 0.0
         want += sum(np.log(n[w] / words.sizes[c]) for w, c in zip(text.split(), classes, strict=True) if c >= lm.FREQUENT)
         assert abs(got[i] - want) < 1e-3
+
+
+def test_every_word_is_a_target_once():
+    for n in (0, 1, 2, 15, 16, 17, 100):
+        for rounds in (1, lm.ROUNDS, 6):
+            assert sorted(np.concatenate([lm.targets(n, turn, rounds) for turn in range(rounds)]).tolist()) == list(range(n))
+
+
+def test_order_scores_above_disorder_as_in_production(spark):
+    docs = corpus(spark).cache()
+    words = lm.vocabulary(lm.word_counts(docs).cache())
+    rows = lm.score(docs, words, lm.train(docs, words)).collect()
+    good, bad = (np.mean([r["mean_ll"] for r in rows if (r["doc_id"] % 8 == 7) is b]) for b in (False, True))
+    assert good > bad + 0.3

@@ -9,8 +9,8 @@ need no counts; theirs are joined to the documents by word.
 
 The network adds one row of a table per position in the window (SIDE words to the left and right; the
 word itself is masked, the text's edges are a class of their own), a tanh layer and a softmax. It is
-trained in ROUNDS rounds: every task goes once over its own texts, a window at every STRIDE-th word of
-every text, and the weights of all tasks are averaged by their numbers of windows. What is gathered
+trained in ROUNDS rounds: every task goes over its own texts, each round at other words, so that every
+word of every text is a target once, and the weights of all tasks are averaged by their numbers of windows. What is gathered
 (counts of words, windows trained on, weights of tasks) grows with the corpus; what reaches the driver
 does not (classes, fewer than TAIL words and one set of weights).
 
@@ -36,8 +36,8 @@ CLASSES = EDGE + 1
 SIDE, HIDDEN = 3, 24
 #: The lowest band begins where a word is at most one TAIL-th of all words: see ``bands``.
 TAIL = 1 << 3 * (BANDS + 1)
-#: Training: rounds over all texts, words from one window to the next, windows a step, step size.
-ROUNDS, STRIDE, STEP_WINDOWS, RATE = 2, 16, 256, 0.1
+#: Training: rounds over all texts, windows a step, step size.
+ROUNDS, STEP_WINDOWS, RATE = 2, 256, 0.1
 #: Words scored at once; words counted before counts are sent on.
 BATCH, COUNTED = 4096, 2_000_000
 
@@ -142,16 +142,19 @@ def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, centre: np
 def step(net: dict[str, np.ndarray], sums: dict[str, np.ndarray], around: np.ndarray, centre: np.ndarray) -> None:
     """One step of gradient descent, each weight at its own rate."""
     hidden = hidden_of(net, around)
-    logits = hidden @ net["out"] + net["prior"]
-    logits -= logits.max(axis=1, keepdims=True)
-    p = np.exp(logits)
-    p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(centre)), centre] -= 1
-    p /= len(centre)
+    p = hidden @ net["out"]
+    p += net["prior"]
+    p -= p.max(axis=1, keepdims=True)
+    np.exp(p, out=p)
+    p *= 1 / (p.sum(axis=1, keepdims=True) * len(centre))
+    p[np.arange(len(centre)), centre] -= 1 / len(centre)
     back = (p @ net["out"].T) * (1 - hidden**2)
-    slopes = {"out": hidden.T @ p, "prior": p.sum(axis=0), "bias": back.sum(axis=0), "table": np.zeros_like(net["table"])}
-    for k in range(2 * SIDE):
-        np.add.at(slopes["table"][k], around[:, k], back)
+    # The table's rows take the sums of their windows, all sides at once.
+    rows = (around + np.arange(2 * SIDE) * CLASSES).T.ravel()
+    table = np.empty((2 * SIDE * CLASSES, HIDDEN), dtype=np.float32)
+    for i, weights in enumerate(np.tile(back.T.astype(float), 2 * SIDE)):
+        table[:, i] = np.bincount(rows, weights, len(table))
+    slopes = {"out": hidden.T @ p, "prior": p.sum(axis=0), "bias": back.sum(axis=0), "table": table.reshape(net["table"].shape)}
     for name, slope in slopes.items():
         sums[name] += slope**2
         net[name] -= RATE * slope / np.sqrt(sums[name] + 1e-6)
@@ -209,6 +212,11 @@ def vocabulary(counts: DataFrame) -> Words:
     return words
 
 
+def targets(n: int, turn: int, rounds: int) -> np.ndarray:
+    """The words of a text that a round trains on: together the rounds have each word once."""
+    return np.arange(turn, n, rounds)
+
+
 def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Rounds of training in every task, averaged: in groups first, then the groups' sums on the driver."""
     context = docs.sparkSession.sparkContext
@@ -223,17 +231,19 @@ def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.n
             for part in parts:
                 for text in part.column("text"):
                     *_, classes = known.of(text.as_py() or "")
-                    # Each round has its own words: shifted by a part of the stride.
-                    centres = np.arange((turn * STRIDE // rounds) % max(1, min(STRIDE, len(classes))), len(classes), STRIDE)
+                    centres = targets(len(classes), turn, rounds)
                     if not len(centres):
                         continue
                     held.append((windows(classes, centres), classes[centres]))
                     size += len(centres)
                     if size >= STEP_WINDOWS:
-                        step(own, sums, np.concatenate([a for a, _ in held]), np.concatenate([c for _, c in held]))
-                        held, size, seen = [], 0, seen + size
-            if held:
-                step(own, sums, np.concatenate([a for a, _ in held]), np.concatenate([c for _, c in held]))
+                        around, centre = (np.concatenate(x) for x in zip(*held, strict=True))
+                        whole = size - size % STEP_WINDOWS
+                        for k in range(0, whole, STEP_WINDOWS):
+                            step(own, sums, around[k : k + STEP_WINDOWS], centre[k : k + STEP_WINDOWS])
+                        held, size, seen = [(around[whole:], centre[whole:])], size - whole, seen + whole
+            if size:
+                step(own, sums, *(np.concatenate(x) for x in zip(*held, strict=True)))
                 seen += size
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(flat(own) * seen).astype(np.float32).tobytes()])], names=["n", "weights"])
