@@ -71,3 +71,35 @@ def test_query_gives_the_articles(spark, sf):
     for r in rows:
         article = re.search(r"<article>(.*?)</article>", pages[r["page_id"]], re.DOTALL)[1]
         assert r["text"] == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", article)).split()) and r["n_chars"] == len(r["text"])
+
+
+BODY = "<h1>A title</h1><p>The first paragraph of some words. It has marks.</p><p>The second one is as long. It ends here.</p>"
+TEXT = "A title The first paragraph of some words. It has marks. The second one is as long. It ends here."
+
+
+def test_only_hidden_elements_are_hidden():
+    for shown in ("style='overflow:hidden'", 'class="overflow-hidden"', "aria-hidden=false", "data-hidden", 'title="what is hidden: display:none"',
+                  'data-x="aria-hidden=true"', 'style="display:none;display:block"', "hidden=until-found"):
+        assert html_text.main_text(f"<body><div {shown}><article>{BODY}</article></div>") == TEXT, shown
+    for gone in ("hidden", 'hidden=""', "HIDDEN class=x", "aria-hidden = 'true'", 'style="color:red; Display : None"', 'style="visibility:hidden"'):
+        assert html_text.main_text(f"<body><article>{BODY}<p {gone}>This is not shown. Not at all.</p></article>") == TEXT, gone
+    assert html_text.main_text(f"<div style='visibility:hidden'>no<article style='visibility:visible'>{BODY}</article></div>") == TEXT
+
+
+def test_names_of_containers_around_the_article():
+    side = '<div class="sidebar"><p>Popular. A longer text that stands beside. With marks.</p></div>'
+    for name in ("layout with-sidebar", "has-comments", "no-banner x"):
+        for inner in (f"<article>{BODY}</article>", f"<main>{BODY}</main>", f"<main><article>{BODY}</article></main>", f"<div class='post'>{BODY}</div>"):
+            assert html_text.main_text(f'<body><div class="{name}"><div>{inner}</div>{side}</div></body>') == TEXT, (name, inner)
+            assert html_text.main_text(f'<body><div id="{name}">{side}{inner}</div></body>') == TEXT, (name, inner)
+        assert html_text.main_text(f'<main><div class="{name}"><article>{BODY}</article></div></main>') == TEXT
+    # What stands in bad containers beside the article stays out, also in articles of its own.
+    for aside in ("<article><p>Read this next. It is short.</p></article>", "<article class=comment><p>" + "I say so. " * 90 + "</p></article>"):
+        assert html_text.main_text(f'<body><article>{BODY}</article><div class="related">{aside}</div></body>') == TEXT
+        assert html_text.main_text(f'<body><div class="with-sidebar"><article>{BODY}</article><div class="comments">{aside}</div></div></body>') == TEXT
+    assert html_text.main_text(f"<body><div class=x>{BODY}</div><div class=sidebar><article><p>Read this next.</p></article></div></body>") != ""
+
+
+def test_deep_pages_stay_quick():
+    deep = "<div class=with-sidebar>" * 20_000
+    assert html_text.main_text(deep + f"<article>{BODY}</article>") == TEXT

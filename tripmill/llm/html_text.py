@@ -6,6 +6,9 @@ own words and links and the tags, classes and ids it stands in. Neighbouring blo
 as are blocks of one nearest container (through their neighbours in it): parting them costs something, more so if they are near in
 the tree. The maximum flow gives the cheapest labelling; blocks on the source's side are the text.
 
+Names such as "with-sidebar" or "has-comments" on a container around the page's article tell of what the
+page has, not of all its text: see ``weigh``.
+
 Text of head, script, style, form controls and comments is never a block. Defined results: null, empty
 and blank pages, and pages of markup alone, give an empty text. Unclosed and stray tags are taken as
 browsers do: a closing tag ends what is open up to its match, or nothing. Character references without
@@ -61,46 +64,113 @@ ADJACENT, SIBLING = 0.4, 0.8
 TINY = 1e-9
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-_HIDES = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_ATTRIBUTES = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_SHOWN = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
 _PARTS = re.compile(r"[^a-z]+")
 
 
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes by name, the first of a name, values decoded."""
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTES.findall(text):
+        found.setdefault(name.lower(), unescape("".join(values)))
+    return found
+
+
 class Element:
-    __slots__ = ("tag", "parent", "cost", "hidden", "depth", "linked")
+    __slots__ = ("tag", "parent", "good", "bad", "named", "strong", "gone", "unseen", "hidden", "depth", "linked", "cost", "chars")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
-        self.hidden = bool(parent and parent.hidden) or tag in HIDDEN or bool(attributes and _HIDES.search(attributes))
+        self.gone = bool(parent and parent.gone) or tag in HIDDEN
+        self.unseen = bool(parent and parent.unseen)
         self.linked = tag == "a" or bool(parent and parent.linked)
-        # The strongest signs for and against, wherever above the block they stand.
-        good, bad = parent.cost if parent else (0.0, 0.0)
-        own = [TAG_COST.get(tag, 0.0)]
-        if attributes:
-            for name, *values in _NAMES.findall(attributes):
-                known = ROLE_COST if name.lower() == "role" else CLASS_COST
-                signs = [known.get(w, 0.0) for w in _PARTS.split("".join(values).lower())]
-                # Names on the page's frame tell of what it has somewhere, not of all its text.
-                own += [x for x in signs if x > 0 or tag not in FRAME]
-        self.cost = max(good, *own), min(bad, *own)
+        tag_cost = TAG_COST.get(tag, 0.0)
+        # Own signs for content, against it by element and role, and against it by class and id.
+        self.good, self.bad, self.named, self.strong = max(tag_cost, 0.0), min(tag_cost, 0.0), 0.0, tag in ("article", "main")
+        known = attributes_of(attributes) if attributes else {}
+        if known:
+            style = dict((k.lower(), v.lower()) for k, v in _SHOWN.findall(known.get("style", "")))
+            self.gone |= "hidden" in known and not known["hidden"].strip().lower().startswith("until")
+            self.gone |= known.get("aria-hidden", "").strip().lower() == "true" or style.get("display") == "none"
+            if "visibility" in style:
+                self.unseen = style["visibility"] in ("hidden", "collapse")
+            # Names on the page's frame tell of what it has somewhere, not of all its text.
+            frame = tag in FRAME
+            for word in _PARTS.split(known.get("role", "").lower()):
+                sign = ROLE_COST.get(word, 0.0)
+                self.strong |= word in ("article", "main")
+                self.good, self.bad = max(self.good, sign), self.bad if frame else min(self.bad, sign)
+            for name in ("class", "id"):
+                for word in _PARTS.split(known.get(name, "").lower()):
+                    sign = CLASS_COST.get(word, 0.0)
+                    self.good, self.named = max(self.good, sign), self.named if frame and sign < 0 else min(self.named, sign)
+                    if sign < 0:
+                        self.strong = False
+        self.hidden = self.gone or self.unseen
+        self.chars = 0
 
 
 class Block:
-    __slots__ = ("text", "cost", "holder")
+    __slots__ = ("text", "linked", "cost", "holder")
 
     def __init__(self, text: str, linked: int, holder: Element):
-        self.text, self.holder = text, holder
-        words = text.count(" ") + 1
-        marks = sum(map(text.count, ".!?…"))
-        good, bad = holder.cost
-        self.cost = START + good + bad + WORD_COST * min(words, WORDS) + MARK_COST * min(marks, MARKS) + LINK_COST * linked / len(text)
+        self.text, self.linked, self.holder, self.cost = text, linked, holder, 0.0
+
+    def weigh(self):
+        words = self.text.count(" ") + 1
+        marks = sum(map(self.text.count, ".!?…"))
+        good, bad = self.holder.cost
+        self.cost = START + good + bad + WORD_COST * min(words, WORDS) + MARK_COST * min(marks, MARKS) + LINK_COST * self.linked / len(self.text)
+
+
+def inherit(elements: list[Element], frames: set[int] = frozenset()) -> None:
+    """The strongest signs for and against, wherever above the block they stand; names of ``frames`` do not count against."""
+    for e in elements:
+        good, bad = e.parent.cost if e.parent else (0.0, 0.0)
+        e.cost = max(good, e.good), min(bad, e.bad, 0.0 if id(e) in frames else e.named)
+
+
+def weigh(elements: list[Element], found: list[Block]) -> None:
+    """Costs of all blocks. ``elements``: all of the page, parents first.
+
+    The page's main part is the article or main (else the element with a good name) with the most text,
+    links aside, that has no bad name itself and stands in no nav, footer or the like. Where it has more text
+    than all that stands in no bad container, the bad names of the containers around it do not count.
+    """
+    inherit(elements)
+    if any(e.named for e in elements):
+        clear = 0
+        for block in found:
+            n = len(block.text) - block.linked
+            block.holder.chars += n
+            clear += n if block.holder.cost[1] > BAD_COST else 0
+        for e in reversed(elements):
+            if e.parent:
+                e.parent.chars += e.chars
+        outside: dict[int, bool] = {}
+        for e in elements:
+            outside[id(e)] = e.bad <= BAD_COST or bool(e.parent and outside[id(e.parent)])
+        able = [e for e in elements if e.chars and not e.named and not outside[id(e)]]
+        able = [e for e in able if e.strong] or [e for e in able if e.good >= GOOD_COST and e.tag not in FRAME]
+        # Of elements in each other with the same text, the innermost.
+        best = max(able, key=lambda e: (e.chars, e.depth), default=None)
+        if best and best.cost[1] <= BAD_COST and best.chars > clear:
+            frames = set()
+            while best.parent:
+                best = best.parent
+                frames.add(id(best))
+            inherit(elements, frames)
+    for block in found:
+        block.weigh()
 
 
 def blocks(html: str) -> list[Block]:
     """Blocks of shown text in page order: decoded, white space as one space, trimmed."""
     out: list[Block] = []
     top = here = Element("", None, "")
+    elements = [top]
     parts: list[tuple[str, bool]] = []
 
     def close():
@@ -151,10 +221,12 @@ def blocks(html: str) -> list[Block]:
             here = top
         if not token[3].rstrip().endswith("/"):
             here = Element(tag, here, token[3])
+            elements.append(here)
             if tag in RAW:
                 end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
                 at = end.start() if end else size
     close()
+    weigh(elements, out)
     return out
 
 
