@@ -106,3 +106,14 @@ def test_pieces_with_their_ids(spark, reference):
     docs = spark.createDataFrame([(1, "some words " * 900)], "doc_id bigint, text string")
     rows = packing.pieces(docs, TOKENIZER, PATTERN, ids=True).orderBy("piece").collect()
     assert [i for r in rows for i in r["ids"]] == reference("some words " * 900) and len(rows) == 2
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n x", "x  <|endoftext|>  y", "<|endoftext", "é<|endoftext|>日"]
+
+
+def test_added_tokens_are_the_tokenizer_s(spark):
+    own = Tokenizer.from_file(TOKENIZER)
+    want = {i: [*own.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(ADDED)}
+    assert 50256 in want[0]
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["ids"] for r in packing.pieces(docs, TOKENIZER, PATTERN, ids=True).collect()} == want

@@ -88,3 +88,15 @@ def test_query_by_brute_force(spark, sf):
             continue
         counts, crossing = expected(text, ends)
         assert [got[key][k] for k in range(len(parts))] == list(zip([0, *ends[:-1]], map(len, parts), counts, crossing, strict=True))
+
+
+def test_added_tokens_count_as_the_tokenizer_s(spark):
+    own = Tokenizer.from_file(TOKENIZER)
+    texts = ["a <|endoftext|> b\nc", "<|endoftext|>", "é<|endoftext|>\n<|endoftext|> x\n"]
+    rows = token_counts.count(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), TOKENIZER, PATTERN).collect()
+    for i, text in enumerate(texts):
+        ends = token_counts.lines(text)
+        found = own.encode(text, add_special_tokens=False)
+        want = np.bincount([int(np.searchsorted(ends, a, side="right")) for a, _ in found.offsets], minlength=len(ends))
+        got = sorted((r["section"], r["n_tokens"]) for r in rows if r["doc_id"] == i)
+        assert got == list(enumerate(want.tolist())) and sum(n for _, n in got) == len(found.ids)

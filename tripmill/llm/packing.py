@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections import defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +50,22 @@ def vocabulary(path: str) -> dict[bytes, int]:
     return {bytes(byte[c] for c in t): i for t, i in tokens["model"]["vocab"].items() if t not in special}
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Texts and ids of the file's added tokens, which are found in a text before all else."""
+    with open(path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file).get("added_tokens", ())}
+
+
 def encoder(path: str, pattern: str):
     """The file's tokenizer. Its ids are the ranks of its merges, so tiktoken gives the same, faster."""
     import tiktoken
 
-    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocabulary(path), special_tokens={})
+    return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=vocabulary(path), special_tokens=added_tokens(path))
+
+
+def whole_encoder(path: str, pattern: str):
+    """From a text to the ids that the file's tokenizer gives it, added tokens included."""
+    return partial(encoder(path, pattern).encode, allowed_special="all")
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -67,7 +79,7 @@ def pieces(docs: DataFrame, tokenizer: str, pattern: str, capacity: int = CAPACI
     """The pieces of every document; with ``ids`` also their token ids. ``tokenizer`` is a file's path."""
 
     def batches(parts):
-        encode = encoder(tokenizer, pattern).encode_ordinary
+        encode = whole_encoder(tokenizer, pattern)
         for part in parts:
             for at in range(0, part.num_rows, 500):
                 rows = part.slice(at, 500)

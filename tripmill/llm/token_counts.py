@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmill.llm.packing import encoder, vocabulary
+from tripmill.llm.packing import added_tokens, vocabulary, whole_encoder
 
 RULES = ("first", "most")
 
@@ -68,8 +68,8 @@ def count(docs: DataFrame, tokenizer: str, pattern: str, rule: str = "first", cu
     names = ["doc_id", "section", "start", "n_chars", "n_tokens", "n_crossing"]
 
     def batches(parts):
-        encode = encoder(tokenizer, pattern).encode_ordinary
-        words = vocabulary(tokenizer)
+        encode = whole_encoder(tokenizer, pattern)
+        words = vocabulary(tokenizer) | {t.encode(): i for t, i in added_tokens(tokenizer).items()}
         sizes = np.zeros(max(words.values()) + 1, dtype=np.int64)
         for word, i in words.items():
             sizes[i] = len(word)
