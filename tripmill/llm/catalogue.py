@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tripmill.llm import exact_dedup, html_text, jaccard, language, lm_scoring, mixing, packing, quality, token_counts, toxicity
+from tripmill.llm import (
+    collocations,
+    exact_dedup,
+    html_text,
+    jaccard,
+    language,
+    lm_scoring,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from tripmill.llm.common import table
 
 #: A public tokenizer installed beside Python on every machine, and its pattern of words.
@@ -53,6 +67,18 @@ def op10_token_counts(spark, sf):
     return token_counts.count(table(spark, sf, "documents"), TOKENIZER, PATTERN)
 
 
+def op11_vector_codes(spark, sf):
+    return vector_codes.compress(table(spark, sf, "embeddings"))
+
+
+def op12_collocations(spark, sf):
+    return collocations.top(collocations.mine(table(spark, sf, "documents")))
+
+
+def op13_substring_dedup(spark, sf):
+    return repeats.report(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,10 +92,16 @@ QUERIES = {
         op8_language_id,
         op9_html_extraction,
         op10_token_counts,
+        op11_vector_codes,
+        op12_collocations,
+        op13_substring_dedup,
     )
 }
 ORACLES = {
     "op1_quality_rules": quality.ORACLE,
     "op6_exact_dedup": exact_dedup.ORACLE,
     "op7_mixing": mixing.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_substring_dedup": repeats.ORACLE,
 }
