@@ -174,6 +174,7 @@ def report(docs: DataFrame, width: int = WIDTH, shortest: int = SHORTEST) -> Dat
     # Texts with a candidate move once; copies of a text are left to its first document.
     found = _survivors(seen.select("t", "names"))
     found = found.join(groups.select("t", "first_id"), "t").select(F.col("t").alias("c_t"), F.col("first_id"), "names")
+    found = stored(found, "repeat-found")
     held = texts.join(found, (F.col("t") == F.col("c_t")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     held = stored(held.select("t", "first_id", "text", "names"), "repeat-candidates")
     whole = held.select("t", "first_id", "text")
