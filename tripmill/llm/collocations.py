@@ -41,7 +41,7 @@ SHARE = 50
 #: What ends a piece, and what ends a word.
 ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 #: Characters of one transducer; phrases it names for the cuts; ranges; n-grams a task holds at once.
-FLUSH, NAMED, RANGES, DECODED = 12_000_000, 64, 100_000, 8_000_000
+FLUSH, NAMED, RANGES, DECODED = 6_000_000, 64, 100_000, 8_000_000
 
 _KIND = np.zeros(256, np.int8)
 _KIND[list(BLANKS)], _KIND[list(ENDS)] = 1, 2
