@@ -30,9 +30,10 @@ def cast_double(col: Column) -> Column:
 
 
 def cast_int_rounded(col: Column) -> Column:
-    """Nearest whole number, halves to even. Whole numbers keep all their digits."""
-    text = F.trim(col.cast("string"))
-    return F.coalesce(F.when(text.rlike(WHOLE), text.try_cast("bigint")), F.rint(cast_double(col)).try_cast("bigint"))
+    """Nearest whole number, halves to even. Whole numbers keep all their digits; beyond 64 bits it is null."""
+    text, near = F.trim(col.cast("string")), F.rint(cast_double(col))
+    fits = (near >= -(2.0**63)) & (near < 2.0**63)  # a cast would take larger ones to the largest
+    return F.when(text.rlike(WHOLE), text.try_cast("bigint")).otherwise(F.when(fits, near.cast("bigint")))
 
 
 def cast_bool_map(col: Column) -> Column:
