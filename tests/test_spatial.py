@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.geometry import utm16n
 from tripmill.operators import spatial
 from tripmill.operators.nearest import nearest_site
+from tripmill.operators import zones as zones_module
 from tripmill.operators.zones import voronoi_zones
 from tripmill.plans import dims
 
@@ -177,3 +178,32 @@ def test_zones_of_one_station(spark):
     one = dims.stations_table(spark.createDataFrame([("a", -87.6, 41.8)], "station_id string, longitude double, latitude double"))
     city = dims.city_boundary_table(spark.createDataFrame([("POLYGON ((-87.7 41.7, -87.5 41.7, -87.5 41.9, -87.7 41.9, -87.7 41.7))",)], "geometry_wkt string"))
     assert voronoi_zones(one, city).count() == 1
+
+
+def test_zones_in_tiles(spark):
+    """Scattered sites, a dense spot, a lattice and equal sites, settled in tiles of several sizes: the cells of a search over all sites."""
+    rng = random.Random(3)
+    sites = [(f"s{i}", rng.uniform(-88, -87.4), rng.uniform(41.5, 42.2)) for i in range(250)]
+    sites += [(f"d{i}", -87.7 + rng.uniform(0, 1e-5), 41.8 + rng.uniform(0, 1e-5)) for i in range(60)]
+    sites += [(f"g{i}", -87.6 + i % 6 * 0.001, 41.7 + i // 6 * 0.001) for i in range(36)] + [("e0", -87.5, 41.9), ("e1", -87.5, 41.9)]
+    df = spark.createDataFrame(sites, "station_id string, longitude double, latitude double").repartition(3)
+    at = {r[0]: np.array([r.p.x, r.p.y]) for r in df.select("station_id", utm16n("longitude", "latitude").alias("p")).collect()}
+    spots = np.unique(np.array(list(at.values())), axis=0)
+    frame = zones_module._frame((*spots.min(axis=0), *spots.max(axis=0)), None)
+    want = {}
+    for name, site in at.items():
+        ring = zones_module._one_corner(zones_module._cell(site, spots[(spots != site).any(axis=1)], frame))
+        x, y = (ring - ring[0]).T
+        want[name] = (abs(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2 / 1e6, len(ring))
+    got = {r["station_id"]: (r["area_km2"], r["geometry_wkt"].count(",")) for r in voronoi_zones(df, None, last=60, crowd=40).collect()}
+    assert got.keys() == want.keys()
+    assert all(abs(got[k][0] - want[k][0]) < 0.006 and got[k][1] == want[k][1] for k in want)
+
+
+def test_zones_are_numbered_in_order(spark):
+    rows = [(f"z{i * 7919 % 500:03d}", "POLYGON EMPTY", 1.0, "EPSG:4326") for i in range(500)]
+    zones = spark.createDataFrame(rows, "station_id string, geometry_wkt string, area_km2 double, crs string").repartition(7)
+    got = [(r["station_id"], r["zone_id"]) for r in dims.zones_table(zones).collect()]
+    assert sorted(got) == [(f"z{i:03d}", i + 1) for i in range(500)]
+    plan = dims.zones_table(zones)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("windowspecdefinition(_range" in line for line in plan.splitlines() if "windowspecdefinition" in line)

@@ -9,16 +9,17 @@ from __future__ import annotations
 
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripmill.functions.instants import seconds
+from tripmill.session import stored
 
 SLICE = "_slice"
 
 
-#: A slice has about this many rows, or a SLICES-th of all rows if that is more.
-SLICE_ROWS, SLICES = 200_000, 4096
+#: A slice has about this many rows.
+SLICE_ROWS = 200_000
 #: Parts that a range of time is counted in at once, and the width that is not parted further.
 PARTS, LEAST_WIDTH = 256, 1e-6
 
@@ -36,7 +37,7 @@ def time_cuts(frames: list[tuple[DataFrame, Column]], rows: int | None = None) -
     for more in columns[1:]:
         every = every.unionAll(more)
     span = every.agg(F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("n")).first()
-    most = max(rows or SLICE_ROWS, span["n"] // SLICES)
+    most = rows or SLICE_ROWS
     if span["n"] <= most or span["low"] == span["high"]:
         return []
     spark, done = every.sparkSession, {}
@@ -68,3 +69,18 @@ def with_slice(df: DataFrame, ts: Column, cuts: list[float]) -> DataFrame:
     splits = [float("-inf"), *cuts, float("inf")]
     keyed = df.withColumn("_seconds", seconds(ts))
     return Bucketizer(splits=splits, inputCol="_seconds", outputCol=SLICE).transform(keyed).drop("_seconds")
+
+
+def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows numbered from 1 in the order of ``key``, which is unique: numbered inside ranges, each after the rows of those before it.
+
+    The number of rows of each range reaches the driver; there are as many ranges as shuffle partitions.
+    """
+    ranged = stored(df.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), "ranges")
+    offsets, before = [], 0
+    for r in sorted(ranged.groupBy("_range").count().collect()):
+        offsets.append((r["_range"], before))
+        before += r["count"]
+    after = df.sparkSession.createDataFrame(offsets, "_range int, _before long")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    return ranged.withColumn(name, inside).join(F.broadcast(after), "_range").withColumn(name, F.col("_before") + F.col(name)).drop("_range", "_before")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.functions.geometry import CRS, wkt_of_parts, wkt_parts, wkt_point, wkt_rectangle
 from tripmill.functions.places import geojson_point, hash_id, point_text
 from tripmill.functions.typing import cast_double
 from tripmill.operators.checks import crs_rows, require_none, require_rows
+from tripmill.operators.slices import numbered
 from tripmill.operators.spatial import outside_of, polygon_areas, within_pairs
 from tripmill.operators.upsert import upsert
 
@@ -163,9 +164,8 @@ def stations_table(points: DataFrame) -> DataFrame:
 
 def zones_table(zones: DataFrame) -> DataFrame:
     """Zones numbered by station id, the area as a two-place decimal."""
-    numbered = F.row_number().over(Window.orderBy("station_id"))  # at most zones.MAX_SITES rows
-    return zones.select(
-        numbered.alias("zone_id"), "station_id", "geometry_wkt", F.col("area_km2").cast("decimal(10,2)").alias("area_km2"), "crs"
+    return numbered(zones, "station_id", "zone_id").select(
+        F.col("zone_id").cast("int").alias("zone_id"), "station_id", "geometry_wkt", F.col("area_km2").cast("decimal(10,2)").alias("area_km2"), "crs"
     )
 
 
