@@ -86,8 +86,22 @@ def test_cuts_do_not_change_the_result(spark):
 
 
 def test_no_task_orders_all_rows(spark):
-    """Windows run inside slices, or over one row per slice."""
+    """Windows run inside slices, over one row per slice, and over one row per wide slice."""
     df = trips(spark, [(0, "x", at(0), at(1))])
     plan = counts.started_up_to(df, "s", "n")._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
-    assert len(windows) == 2 and all("windowspecdefinition(_slice" in line for line in windows)
+    assert len(windows) == 3 and all("windowspecdefinition(_slice" in line for line in windows)
+
+
+def test_slices_and_wide_slices(spark):
+    """Instants in one slice, in many, over centuries and before 1970; a third of the rows in one second."""
+    rng = random.Random(7)
+    hot = dt.datetime(2024, 5, 1, 12)
+    starts = [hot + dt.timedelta(microseconds=rng.randrange(10**6)) for _ in range(150)]
+    starts += [hot + dt.timedelta(seconds=rng.randrange(-300, 300)) for _ in range(150)]
+    starts += [dt.datetime(1700, 1, 1) + dt.timedelta(days=rng.randrange(150_000), microseconds=rng.randrange(10**9)) for _ in range(150)]
+    df = trips(spark, [(i, rng.choice("xy"), s, s) for i, s in enumerate(starts)])
+    got = {r[0]: r["n"] for r in counts.started_up_to(df, "s", "n").collect()}
+    assert got == {i: sum(o <= s for o in starts) for i, s in enumerate(starts)}
+    ended = {r[0]: r["n"] for r in counts.ended_before_end(df, "e", "n").collect()}
+    assert ended == {i: sum(o <= s - dt.timedelta(seconds=1) for o in starts) for i, s in enumerate(starts)}

@@ -16,6 +16,12 @@ def seconds(ts: Column) -> Column:
     )
 
 
+def micros(ts: Column) -> Column:
+    """Microseconds since 1970, exactly."""
+    whole = F.unix_date(ts.cast("date")).cast("bigint") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
+    return whole * 1_000_000 + (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+
+
 def hour_trunc(ts: Column) -> Column:
     return ts - F.make_dt_interval(mins=F.minute(ts), secs=F.date_part(F.lit("SECOND"), ts))
 

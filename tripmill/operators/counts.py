@@ -2,7 +2,9 @@
 
 The plain forms are ``COUNT(*) OVER (ORDER BY t RANGE ...)``, which sorts everything in one task, and
 ``... PARTITION BY key ...``, which does so for a hot key. Here rows are first reduced to one row per
-instant, then summed inside slices of time, and each slice adds the total of the slices before it.
+instant, then summed on three levels: instants inside slices of time, slices inside wide slices, wide slices. Slices have
+fixed limits (about a minute, and about two years), so nothing is counted or read beforehand, and what
+one window holds is bounded by time, not by rows: 2^26 instants, 2^20 slices, 2^18 wide slices.
 """
 
 from __future__ import annotations
@@ -10,8 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions.instants import after, before
-from tripmill.operators.slices import SLICE, time_cuts, with_slice
+from tripmill.functions.instants import after, before, micros
+from tripmill.operators.slices import SLICE, with_slice
+
+
+#: Bits of the microseconds within a slice, and of the slices within a wide slice.
+FINE, WIDE = 26, 20
 
 
 def counts_up_to(
@@ -20,32 +26,35 @@ def counts_up_to(
     """For each distinct probe ``(*by, t)``: the number of events of the same ``by`` at or before ``t``.
 
     Both frames hold the columns ``by`` (never null) and ``t``. Null instants are left out. Without
-    ``probes`` the events ask for themselves.
+    ``probes`` the events ask for themselves. ``cuts`` are limits of slices in seconds, instead of the fixed ones.
     """
     keys = [*by, "t"]
     events = events.select(*keys).where("t IS NOT NULL")
-    if cuts is None:
-        cuts = time_cuts([(events, F.col("t"))])
     marked = events.select(*keys, F.lit(1).alias("one"), F.lit(probes is None).alias("asked"))
     if probes is not None:
         asked = probes.select(*keys, F.lit(0).alias("one"), F.lit(True).alias("asked")).where("t IS NOT NULL")
         marked = marked.unionAll(asked)
-    points = with_slice(marked.groupBy(*keys).agg(F.sum("one").alias("n"), F.max("asked").alias("asked")), F.col("t"), cuts)
-    groups = [*by, SLICE]
-    inside = Window.partitionBy(*groups).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
-    # What the earlier slices hold. Counted straight from the rows, which combine to a row per
-    # (by, slice) before they move; the window over those is the only ordered step that spans slices.
-    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        with_slice(marked, F.col("t"), cuts)
-        .groupBy(*groups)
-        .agg(F.sum("one").alias("n"))
-        .select(*groups, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_earlier"))
-    )
+    points = marked.groupBy(*keys).agg(F.sum("one").alias("n"), F.max("asked").alias("asked"))
+    if cuts is None:
+        points = points.withColumn(SLICE, F.shiftright(micros(F.col("t")), FINE))
+    else:
+        points = with_slice(points, F.col("t"), cuts).withColumn(SLICE, F.col(SLICE).cast("bigint"))
+    inside = Window.partitionBy(*by, SLICE).orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+
+    def earlier(*groups: str, order: str) -> Column:
+        window = Window.partitionBy(*by, *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(window), F.lit(0))
+
+    slices = points.groupBy(*by, SLICE).agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    slices = slices.withColumn("_slices", F.shiftright(SLICE, WIDE))
+    wide = slices.groupBy(*by, "_slices").agg(F.sum("n").alias("n")).withColumn("_slice_top", F.pmod("_slices", F.lit(1)))
+    wide = wide.select(*by, "_slices", earlier("_slice_top", order="_slices").alias("n_before"))
+    slices = slices.withColumn("n_earlier", earlier("_slices", order=SLICE)).where("asked").join(wide, [*by, "_slices"])
+    slices = slices.select(*by, SLICE, (F.col("n_earlier") + F.col("n_before")).alias("n_earlier"))
     return (
         points.withColumn("n", F.sum("n").over(inside))
         .where("asked")
-        .join(totals, groups)
+        .join(slices, [*by, SLICE])
         .select(*keys, (F.col("n") + F.col("n_earlier")).alias("n_le"))
     )
 

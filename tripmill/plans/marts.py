@@ -29,12 +29,17 @@ def with_location_map(trips: DataFrame, mapped: DataFrame) -> DataFrame:
     return trips.join(places, "pickup_location_id", "left")
 
 
-def nearest_traffic(trips: DataFrame, traffic: DataFrame) -> DataFrame:
+def reading_cuts(trips: DataFrame, traffic: DataFrame, weather: DataFrame) -> list[float]:
+    """Slices for both nearest-in-time joins, counted once on the stored tables."""
+    return time_cuts([(trips, F.col("trip_start_timestamp")), (traffic, F.col("time")), (weather, F.col("datetime"))])
+
+
+def nearest_traffic(trips: DataFrame, traffic: DataFrame, cuts: list[float] | None = None) -> DataFrame:
     payload = {"region_id": "pickup_traffic_region_id", "speed": "traffic_speed", "num_reads": "traffic_num_reads"}
-    return asof_nearest(trips, traffic, "region_id", "trip_start_timestamp", "time", "record_id", payload)
+    return asof_nearest(trips, traffic, "region_id", "trip_start_timestamp", "time", "record_id", payload, cuts)
 
 
-def nearest_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
+def nearest_weather(trips: DataFrame, weather: DataFrame, cuts: list[float] | None = None) -> DataFrame:
     payload = {
         "station_id": "pickup_weather_station_id",
         "temp": "weather_temp",
@@ -42,7 +47,7 @@ def nearest_weather(trips: DataFrame, weather: DataFrame) -> DataFrame:
         "windspeed": "weather_windspeed",
         "conditions": "weather_conditions",
     }
-    return asof_nearest(trips, weather, "station_id", "trip_start_timestamp", "datetime", "record_id", payload)
+    return asof_nearest(trips, weather, "station_id", "trip_start_timestamp", "datetime", "record_id", payload, cuts)
 
 
 # Columns of the marts.
@@ -55,17 +60,14 @@ ENRICHED = [
 
 def trips_enriched(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
     slim = trips.select("trip_id", "trip_start_timestamp", "pickup_location_id")
-    placed = with_location_map(slim, mapped)
-    return nearest_weather(nearest_traffic(placed, traffic), weather).select(*ENRICHED)
+    placed, cuts = with_location_map(slim, mapped), reading_cuts(trips, traffic, weather)
+    return nearest_weather(nearest_traffic(placed, traffic, cuts), weather, cuts).select(*ENRICHED)
 
 
 def window_features(trips: DataFrame) -> DataFrame:
     """Adds ``active_trips_total`` and ``trips_from_pickup_loc_last_30m``."""
     start, end, place = "trip_start_timestamp", "trip_end_timestamp", "pickup_location_id"
-    cuts = time_cuts([(trips, F.col(start))])
-    return active_and_recent_rows(
-        trips, start, end, place, "active_trips_total", "trips_from_pickup_loc_last_30m", cuts
-    )
+    return active_and_recent_rows(trips, start, end, place, "active_trips_total", "trips_from_pickup_loc_last_30m")
 
 
 TRIP_COLUMNS = [
@@ -101,8 +103,8 @@ def features(df: DataFrame) -> DataFrame:
 
 def described_trips(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
     """Every trip with its counts and the nearest traffic and weather: what both trip marts choose from."""
-    placed = with_location_map(window_features(trips.select(*TRIP_COLUMNS)), mapped)
-    return nearest_weather(nearest_traffic(placed, traffic), weather)
+    placed, cuts = with_location_map(window_features(trips.select(*TRIP_COLUMNS)), mapped), reading_cuts(trips, traffic, weather)
+    return nearest_weather(nearest_traffic(placed, traffic, cuts), weather, cuts)
 
 
 def ml_base(trips: DataFrame, mapped: DataFrame, traffic: DataFrame, weather: DataFrame) -> DataFrame:
