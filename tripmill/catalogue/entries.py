@@ -13,6 +13,7 @@ from tripmill.functions import instants, places, typing
 from tripmill.functions.geometry import utm16n, wkt_point, wkt_rectangle
 from tripmill.operators import checks, counts
 from tripmill.operators.asof import asof_nearest
+from tripmill.operators.overlay import dissolve
 from tripmill.operators.nearest import euclid, nearest_site
 from tripmill.operators.spatial import join_within, polygon_areas, polygon_edges, within_pairs
 from tripmill.operators.upsert import upsert
@@ -669,6 +670,29 @@ def agg_union_geometry(spark, sf):
     return within_pairs(locations(spark, sf), "location_id", whole, "boundary_id").select("location_id")
 
 
+_BOXES = """SELECT s_nationkey AS nation, (s_suppkey * 37 % 100) / 10.0::DOUBLE AS x0, (s_suppkey * 61 % 100) / 10.0::DOUBLE AS y0,
+    (s_suppkey * 37 % 100 + 10 + s_suppkey % 5 * 8) / 10.0::DOUBLE AS x1, (s_suppkey * 61 % 100 + 12 + s_suppkey % 7 * 9) / 10.0::DOUBLE AS y1 FROM supplier"""
+
+
+@query(
+    "union_of_overlaps",
+    f"""WITH b AS ({_BOXES}),
+        xs AS (SELECT nation, x0 AS xa, lead(x0) OVER (PARTITION BY nation ORDER BY x0) AS xb FROM (SELECT nation, x0 FROM b UNION SELECT nation, x1 FROM b)),
+        ys AS (SELECT nation, y0 AS ya, lead(y0) OVER (PARTITION BY nation ORDER BY y0) AS yb FROM (SELECT nation, y0 FROM b UNION SELECT nation, y1 FROM b))
+        SELECT nation, round(sum((xb - xa) * (yb - ya)), 6) AS area FROM xs JOIN ys USING (nation) WHERE EXISTS (SELECT 1 FROM b
+            WHERE b.nation = xs.nation AND x0 <= xa AND x1 >= xb AND y0 <= ya AND y1 >= yb) GROUP BY nation""",
+)
+def union_of_overlaps(spark, sf):
+    """The area of the union of each nation's boxes, one a supplier, which overlap, touch and lie inside each other."""
+    boxes = td.table(spark, sf, "supplier").select(
+        col("s_nationkey").alias("nation"), ((col("s_suppkey") * 37 % 100) / 10).alias("x0"), ((col("s_suppkey") * 61 % 100) / 10).alias("y0"),
+        ((col("s_suppkey") * 37 % 100 + 10 + col("s_suppkey") % 5 * 8) / 10).alias("x1"), ((col("s_suppkey") * 61 % 100 + 12 + col("s_suppkey") % 7 * 9) / 10).alias("y1"),
+    )
+    whole = dissolve(boxes.select("nation", wkt_rectangle(col("x0"), col("y0"), col("x1"), col("y1")).alias("geometry_wkt")), "nation")
+    # Shells run counter-clockwise and holes clockwise.
+    return polygon_edges(whole, "nation").groupBy("nation").agg(F.round(F.sum(col("x1") * col("y2") - col("x2") * col("y1")) / 2, 6).alias("area"))
+
+
 @query(
     "spjoin_partly_shared",
     """SELECT location_id FROM locations WHERE (longitude > -87.86 AND longitude < -87.7 AND latitude > 41.69 AND latitude < 41.99)

@@ -95,12 +95,13 @@ def _marked_edges(polygons: DataFrame, poly: str, wkt: str) -> DataFrame:
     return edges.withColumn("shared", F.count(F.lit(1)).over(same_side) % 2 == 0)
 
 
-def polygon_bands(polygons: DataFrame, poly: str, wkt: str = "geometry_wkt") -> DataFrame:
+def polygon_bands(polygons: DataFrame, poly: str, wkt: str = "geometry_wkt", simple: bool = False) -> DataFrame:
     """Per polygon part, horizontal bands with the edges that reach into them, and the box of those.
 
-    Limits are ends of edges: a band is ``[lo, hi)``, the last one ``[lo, hi]``.
+    Limits are ends of edges: a band is ``[lo, hi)``, the last one ``[lo, hi]``. The parts of ``simple`` geometries
+    have no edges in common, so none are looked for.
     """
-    edges = _marked_edges(polygons, poly, wkt)
+    edges = polygon_edges(polygons, poly, wkt).withColumn("shared", F.lit(False)) if simple else _marked_edges(polygons, poly, wkt)
     ranked = edges.withColumn("n", F.row_number().over(Window.partitionBy(poly, "part").orderBy("y1")))
     cut = F.when((F.col("n") % BAND_EDGES == 0), F.col("y1"))
     parts = ranked.groupBy(poly, "part").agg(
@@ -152,13 +153,14 @@ _TOUCHED = """filter(edges, e -> px BETWEEN least(e.x1, e.x2) AND greatest(e.x1,
 
 def within_pairs(
     points: DataFrame, point: str, polygons: DataFrame, poly: str, wkt: str = "geometry_wkt",
-    lon: str = "longitude", lat: str = "latitude",
+    lon: str = "longitude", lat: str = "latitude", simple: bool = False,
 ) -> DataFrame:
     """Distinct ``(point, poly)`` where the point lies strictly inside the polygon.
 
-    ``point`` is the unique id of a point; points without finite coordinates are in nothing.
+    ``point`` is the unique id of a point; points without finite coordinates are in nothing. ``simple`` states
+    that no two parts of a geometry touch along edges, as in single polygons and dissolved ones.
     """
-    filed = filed_bands(polygon_bands(polygons, poly, wkt))
+    filed = filed_bands(polygon_bands(polygons, poly, wkt, simple))
     # The pairs of levels in use, as a value that the plan computes: nothing reaches the driver.
     levels = filed.agg(F.collect_set(F.struct("lx", "ly"))).scalar()
     finite = ~F.isnan(F.col(lon).cast("double")) & ~F.isnan(F.col(lat).cast("double"))
@@ -187,15 +189,15 @@ def within_pairs(
     return verdict.where("inside OR (on_shared AND NOT on_rim)").select(F.col("_point").alias(point), poly)
 
 
-def join_within(points: DataFrame, point: str, polygons: DataFrame, poly: str, **columns: str) -> DataFrame:
+def join_within(points: DataFrame, point: str, polygons: DataFrame, poly: str, **options) -> DataFrame:
     """Left join: ``points`` plus the id of each polygon they lie in, null where there is none.
 
     Overlapping polygons give several rows for a point.
     """
-    return points.join(within_pairs(points, point, polygons, poly, **columns), point, "left")
+    return points.join(within_pairs(points, point, polygons, poly, **options), point, "left")
 
 
-def outside_of(points: DataFrame, point: str, polygons: DataFrame, poly: str, **columns: str) -> DataFrame:
+def outside_of(points: DataFrame, point: str, polygons: DataFrame, poly: str, **options) -> DataFrame:
     """Points that lie in none of the polygons; points without coordinates are among them."""
-    inside = within_pairs(points, point, polygons, poly, **columns).select(point).distinct()
+    inside = within_pairs(points, point, polygons, poly, **options).select(point).distinct()
     return points.join(inside, point, "left_anti")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.functions.geometry import CRS, wkt_of_parts, wkt_parts, wkt_point, wkt_rectangle
+from tripmill.functions.geometry import CRS, wkt_parts, wkt_point, wkt_rectangle
 from tripmill.functions.places import geojson_point, hash_id, point_text
 from tripmill.functions.typing import cast_double
 from tripmill.operators.checks import crs_rows, require_none, require_rows
+from tripmill.operators.overlay import dissolve
 from tripmill.operators.slices import numbered
 from tripmill.operators.spatial import outside_of, polygon_areas, within_pairs
 from tripmill.operators.upsert import upsert
+from tripmill.session import stored
 
 PICKUP = "pickup_centroid_location"
 DROPOFF = "dropoff_centroid_location"
@@ -176,21 +178,19 @@ def stations_with_zones(stations: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def city_boundary_table(polygons: DataFrame, city_name: str = "Chicago", source_url: str | None = None) -> DataFrame:
-    """One row: the parts of all landed polygons as one geometry, with their summed area.
+    """One row: the union of all landed polygons as one geometry without inner edges, with its area.
 
-    ``polygons`` is the boundary as landed, a few rows of ``geometry_wkt``.
+    ``polygons`` is the boundary as landed, rows of ``geometry_wkt``; they may touch and overlap.
     """
-    parts = wkt_parts("geometry_wkt")
-    landed = polygons.where(F.size(parts) > 0).withColumn("boundary_id", F.lit(1))
+    landed = polygons.where(F.size(wkt_parts("geometry_wkt")) > 0).withColumn("boundary_id", F.lit(1))
     require_rows(landed, "city boundary")
-    merged = landed.groupBy("boundary_id").agg(F.flatten(F.array_sort(F.collect_list(parts))).alias("parts"))
-    whole = merged.select("boundary_id", wkt_of_parts("parts").alias("geometry_wkt"))
-    area = polygon_areas(whole, "boundary_id").select("km2").scalar()
-    return whole.select(
+    whole = stored(dissolve(landed, "boundary_id"), "boundary")
+    area = polygon_areas(whole, "boundary_id").select("boundary_id", F.bround("km2", 2).cast("decimal(10,2)").alias("area_km2"))
+    return whole.join(area, "boundary_id").select(
         "boundary_id",
         F.lit(city_name).alias("city_name"),
         "geometry_wkt",
-        F.bround(area, 2).cast("decimal(10,2)").alias("area_km2"),
+        "area_km2",
         F.lit(CRS).alias("crs"),
         F.lit(source_url).cast("string").alias("source_url"),
     )
@@ -209,12 +209,13 @@ def require_crs(*tables: DataFrame) -> None:
 def map_locations(locations: DataFrame, regions: DataFrame, zones: DataFrame) -> DataFrame:
     """``location_id, region_id, station_id, batch_id``, one row per location.
 
-    A location in several regions or zones takes the smallest id of each.
+    A location in several regions or zones takes the smallest id of each. Regions are rectangles and zones convex, as
+    built here: neither has parts that touch.
     """
-    region = within_pairs(locations, "location_id", regions, "region_id").groupBy("location_id").agg(
+    region = within_pairs(locations, "location_id", regions, "region_id", simple=True).groupBy("location_id").agg(
         F.min("region_id").alias("region_id")
     )
-    zone = within_pairs(locations, "location_id", zones, "station_id").groupBy("location_id").agg(
+    zone = within_pairs(locations, "location_id", zones, "station_id", simple=True).groupBy("location_id").agg(
         F.min("station_id").alias("station_id")
     )
     return (
@@ -226,8 +227,8 @@ def map_locations(locations: DataFrame, regions: DataFrame, zones: DataFrame) ->
 
 
 def invalid_locations(locations: DataFrame, boundary: DataFrame) -> DataFrame:
-    """Locations outside the city, on its rim, or without coordinates."""
-    out = outside_of(locations, "location_id", boundary, "boundary_id")
+    """Locations outside the city, on its rim, or without coordinates; the boundary is dissolved, as built here."""
+    out = outside_of(locations, "location_id", boundary, "boundary_id", simple=True)
     return out.select("location_id", "batch_id", "longitude", "latitude", F.lit(CRS).alias("crs"))
 
 
