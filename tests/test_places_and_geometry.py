@@ -2,13 +2,17 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
+import re
 
 import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
 from tripmill.functions import geometry, instants, places
+from tripmill.operators.checks import CheckFailed
 from tripmill.operators.spatial import polygon_areas, polygon_edges
+from tripmill.plans import dims
 
 JSON_POINT = '{"type":"Point","coordinates":[-87.6298,41.8781]}'
 
@@ -125,3 +129,34 @@ def test_instants(spark):
 def test_date_from_iso(spark):
     got = tuples(column(spark, ["2025-09-01T00:00:00.000", "nope", None]).select("i", instants.date_from_iso(F.col("v")).cast("string")))
     assert got == [(0, "2025-09-01"), (1, None), (2, None)]
+
+
+def test_reprojection_there_and_back(spark):
+    rng = random.Random(11)
+    spots = [(rng.uniform(-90, -84), rng.uniform(-5, 80)) for _ in range(200)]
+    rows = [(i, f"POINT ({x!r} {y!r})", "EPSG:4326") for i, (x, y) in enumerate(spots)]
+    rows += [(1000, "POLYGON ((-87 41, -86 41, -86 42, -87 41), (-86.2 41.1, -86.1 41.1, -86.1 41.2, -86.2 41.1))", "EPSG:4326")]
+    rows += [(1001, "MULTIPOLYGON (((-87 41, -86 41, -86 42, -87 41)), ((-88 41, -87.5 41, -87.5 42, -88 41)))", "EPSG:4326")]
+    df = spark.createDataFrame(rows, "id int, geometry_wkt string, crs string")
+    there = geometry.reprojected(df, "EPSG:26916")
+    metres = {r["id"]: r["geometry_wkt"] for r in there.collect()}
+    assert {r["crs"] for r in there.collect()} == {"EPSG:26916"}
+    x, y = map(float, metres[0][7:-1].split())
+    lon, lat = geometry.lonlat_from_utm16n(x, y)
+    assert abs(lon - spots[0][0]) < 1e-8 and abs(lat - spots[0][1]) < 1e-8
+    back = {r["id"]: r["geometry_wkt"] for r in geometry.reprojected(there).collect()}
+    number = re.compile(r"-?[0-9.]+(?:E-?[0-9]+)?")
+    for i, text, _ in rows:
+        assert number.sub("n", back[i]) == number.sub("n", text)
+        assert all(abs(float(a) - float(b)) < 1e-9 for a, b in zip(number.findall(back[i]), number.findall(text), strict=True))
+
+
+def test_reprojection_of_other_systems(spark):
+    rows = [(1, "POINT (1 2)", "EPSG:3857"), (2, "POINT (-87 41)", "EPSG:4326"), (3, "LINESTRING (0 0, 1 1)", "EPSG:26916"), (4, None, "EPSG:26916"), (5, "POINT (1 2)", None)]
+    df = spark.createDataFrame(rows, "id int, geometry_wkt string, crs string")
+    got = {r["id"]: (r["geometry_wkt"], r["crs"]) for r in geometry.reprojected(df).collect()}
+    assert got == {1: (None, "EPSG:3857"), 2: ("POINT (-87 41)", "EPSG:4326"), 3: (None, "EPSG:4326"), 4: (None, "EPSG:4326"), 5: (None, None)}
+    assert dims.in_degrees(df.where("id = 2"), spark.range(1))[1].columns == ["id"]
+    for refused in ("id = 1", "id = 5"):
+        with pytest.raises(CheckFailed):
+            dims.in_degrees(df.where(refused))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripmill.catalogue import testdata as td
 from tripmill.catalogue.oracle import CTES, END, NUMBER, START, _inside, _utm, sql
 from tripmill.functions import instants, places, typing
-from tripmill.functions.geometry import utm16n, wkt_point, wkt_rectangle
+from tripmill.functions.geometry import reprojected, utm16n, wkt_point, wkt_rectangle
 from tripmill.operators import checks, counts
 from tripmill.operators.asof import asof_nearest
 from tripmill.operators.overlay import dissolve
@@ -118,7 +118,24 @@ _DECIMALS = "CAST(longitude AS DECIMAL(10,7)) AS longitude, CAST(latitude AS DEC
 
 @query("src_view_stations", f"SELECT station_id, {_DECIMALS} FROM sites")
 def src_view_stations(spark, sf):
-    return dims.stations_table(td.sites(spark, sf)).select("station_id", "longitude", "latitude").orderBy("station_id")
+    wh = _warehouse(spark, "stations", "dim_spatial.weather_stations_points")
+    wh.replace("dim_spatial.weather_stations_points", dims.stations_table(td.sites(spark, sf)))
+    return wh.read("dim_spatial.weather_stations_points").select("station_id", "longitude", "latitude").orderBy("station_id")
+
+
+@query(
+    "src_view_stations_zones",
+    f"""SELECT station_id, station_id AS station_name, {_DECIMALS},
+        CASE WHEN longitude IS NOT NULL THEN CAST(row_number() OVER
+            (PARTITION BY longitude IS NULL ORDER BY station_id) AS INT) END AS zone_id FROM sites""",
+)
+def src_view_stations_zones(spark, sf):
+    """The stored view of stations with their zones, over tables replaced after it was made."""
+    wh = _warehouse(spark, "view", "dim_spatial.weather_stations_points", "dim_spatial.weather_voronoi_zones")
+    stations = dims.stations_table(td.sites(spark, sf))
+    wh.replace("dim_spatial.weather_stations_points", stations)
+    wh.replace("dim_spatial.weather_voronoi_zones", dims.zones_table(voronoi_zones(stations, boundary(spark, sf))))
+    return wh.read("dim_spatial.vw_stations_with_zones").select("station_id", "station_name", "longitude", "latitude", "zone_id")
 
 
 @query("src_table_query", "SELECT location_id, longitude, latitude, batch_id FROM locations")
@@ -1158,6 +1175,19 @@ def geo_crs_check(spark, sf):
     return _measured("crs", tagged, checks.crs_rows(tagged, "EPSG:4326"))
 
 
+@query(
+    "geo_reproject",
+    """SELECT region_id, 'EPSG:4326' AS crs, round(west, 9) AS west, round(south, 9) AS south, round(east, 9) AS east, round(north, 9) AS north FROM regions""",
+)
+def geo_reproject(spark, sf):
+    """The regions' rectangles in metres, and back in degrees: the corners as they were, to a nanodegree."""
+    back = dims.in_degrees(reprojected(regions(spark, sf).select("region_id", "geometry_wkt", "crs"), "EPSG:26916"))[0]
+    ends = polygon_edges(back, "region_id").groupBy("region_id").agg(
+        F.round(F.min("x1"), 9).alias("west"), F.round(F.min("y1"), 9).alias("south"), F.round(F.max("x1"), 9).alias("east"), F.round(F.max("y1"), 9).alias("north")
+    )
+    return ends.join(back.select("region_id", "crs"), "region_id")
+
+
 # == marts and runs ==============================================================================
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRS = "EPSG:4326"
@@ -41,8 +41,8 @@ _DELTA = (
 )
 
 
-def utm16n(lon: str, lat: str) -> Column:
-    """Struct ``(x, y)`` in metres of two columns in degrees. Written as SQL text: it is one formula."""
+def utm16n_sql(lon: str, lat: str) -> str:
+    """Struct ``(x, y)`` in metres of two expressions in degrees, as SQL text: it is one formula."""
     sin_phi = f"sin(radians({lat}))"
     t = f"sinh(atanh({sin_phi}) - {_ECC!r}D * atanh({_ECC!r}D * {sin_phi}))"
     lam = f"radians({lon} - ({CENTRAL_MERIDIAN}D))"
@@ -51,7 +51,63 @@ def utm16n(lon: str, lat: str) -> Column:
     east = " + ".join([eta, *(f"{a!r}D * cos({2 * j} * {xi}) * sinh({2 * j} * {eta})" for j, a in enumerate(_ALPHA, 1))])
     north = " + ".join([xi, *(f"{a!r}D * sin({2 * j} * {xi}) * cosh({2 * j} * {eta})" for j, a in enumerate(_ALPHA, 1))])
     k = f"{SCALE * _RADIUS!r}D"
-    return F.expr(f"named_struct('x', {FALSE_EASTING}D + {k} * ({east}), 'y', {k} * ({north}))")
+    return f"named_struct('x', {FALSE_EASTING}D + {k} * ({east}), 'y', {k} * ({north}))"
+
+
+def utm16n(lon: str, lat: str) -> Column:
+    """Struct ``(x, y)`` in metres of two columns in degrees."""
+    return F.expr(utm16n_sql(lon, lat))
+
+
+#: The first eccentricity of the ellipsoid.
+_E = math.sqrt(FLATTENING * (2 - FLATTENING))
+
+
+def lonlat_sql(x: str, y: str) -> str:
+    """Struct ``(x, y)`` in degrees of two expressions in metres, as SQL text: the way back from :func:`utm16n_sql`.
+
+    The latitude comes from the conformal one by steps that each leave less than a hundredth of the error.
+    """
+    k = f"{SCALE * _RADIUS!r}D"
+    xi0, eta0 = f"(({y}) / {k})", f"((({x}) - {FALSE_EASTING}D) / {k})"
+    xi = " - ".join([xi0, *(f"{b!r}D * sin({2 * j} * {xi0}) * cosh({2 * j} * {eta0})" for j, b in enumerate(_BETA, 1))])
+    eta = " - ".join([eta0, *(f"{b!r}D * cos({2 * j} * {xi0}) * sinh({2 * j} * {eta0})" for j, b in enumerate(_BETA, 1))])
+    chi = f"(sin({xi}) / cosh({eta}))"
+    level, sin_phi = f"atanh({chi})", chi
+    for _ in range(6):
+        sin_phi = f"tanh({level} + {_E!r}D * atanh({_E!r}D * {sin_phi}))"
+    return f"named_struct('x', {CENTRAL_MERIDIAN}D + degrees(atan2(sinh({eta}), cos({xi}))), 'y', degrees(asin({sin_phi})))"
+
+
+#: Degrees, and metres of UTM zone 16 north.
+UTM_CRS = "EPSG:26916"
+
+
+def reprojected(df: DataFrame, to: str = CRS, wkt: str = "geometry_wkt") -> DataFrame:
+    """Rows with their geometry text, POINT or polygons, in the system ``to``, each from the system its ``crs`` names.
+
+    Systems are EPSG:4326 and EPSG:26916; rows in another one have a null geometry and keep their ``crs``. Rows that are in
+    ``to`` already keep their text as it is.
+    """
+    if to not in (CRS, UTM_CRS):
+        raise ValueError(f"unknown system {to}")
+    other, formula = (UTM_CRS, lonlat_sql) if to == CRS else (CRS, utm16n_sql)
+    move = formula("p.x", "p.y")
+    form = r"r'(?i)^\s*POINT\s*\(\s*([^\s()]+)\s+([^\s()]+)\s*\)\s*$'"
+    x, y = (f"try_cast(regexp_extract({wkt}, {form}, {i}) AS DOUBLE)" for i in (1, 2))
+    spot = F.expr(f"CASE WHEN {wkt} RLIKE {form} THEN array(named_struct('x', {x}, 'y', {y})) END")
+    rows = df.withColumns({"_parts": wkt_parts(wkt), "_spot": spot})
+    rows = rows.withColumns(
+        {
+            "_parts": F.expr(f"transform(_parts, part -> transform(part, ring -> transform(ring, p -> {move})))"),
+            "_spot": F.expr(f"element_at(transform(_spot, p -> {move}), 1)"),
+        }
+    )
+    point = wkt_point(F.col("_spot.x"), F.col("_spot.y"))
+    moved = F.when(F.col("_parts").isNotNull(), wkt_of_parts("_parts")).when(F.col("_spot").isNotNull(), point)
+    text = F.when(F.col("crs") == to, F.col(wkt)).when(F.col("crs") == other, moved)
+    crs = F.when(F.col("crs").isin(CRS, UTM_CRS), F.lit(to)).otherwise(F.col("crs"))
+    return rows.withColumns({wkt: text, "crs": crs}).drop("_parts", "_spot")
 
 
 def lonlat_from_utm16n(x: float, y: float) -> tuple[float, float]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.functions.geometry import CRS, wkt_parts, wkt_point, wkt_rectangle
+from tripmill.functions.geometry import CRS, reprojected, wkt_parts, wkt_point, wkt_rectangle
 from tripmill.functions.places import geojson_point, hash_id, point_text
 from tripmill.functions.typing import cast_double
 from tripmill.operators.checks import crs_rows, require_none, require_rows
@@ -200,12 +200,23 @@ def city_boundary_table(polygons: DataFrame, city_name: str = "Chicago", source_
 
 
 def require_crs(*tables: DataFrame) -> None:
-    """All coordinates are EPSG:4326; nothing is silently re-projected."""
+    """All coordinates are EPSG:4326."""
     for t in tables:
         if "crs" in t.columns:
             require_none(crs_rows(t, CRS), f"crs is not {CRS}")
 
 
+def in_degrees(*tables: DataFrame) -> list[DataFrame]:
+    """The tables with all geometries in EPSG:4326: those in EPSG:26916 are re-projected, any other system is refused."""
+    out = []
+    for t in tables:
+        if "crs" in t.columns:
+            t = reprojected(t)
+            require_crs(t)
+        out.append(t)
+    return out
+
+
 def map_locations(locations: DataFrame, regions: DataFrame, zones: DataFrame) -> DataFrame:
     """``location_id, region_id, station_id, batch_id``, one row per location.
 

@@ -128,7 +128,7 @@ def _spatial(wh: Warehouse) -> None:
     regions = wh.read("dim_spatial.traffic_regions")
     require_rows(boundary, "city boundary")
     require_rows(zones, "weather zones")
-    dims.require_crs(boundary, zones, regions)
+    boundary, zones, regions = dims.in_degrees(boundary, zones, regions)
     wh.replace("dim_spatial.mapped_locations", dims.map_locations(locations, regions, zones))
     wh.replace("dim_spatial.invalid_locations", dims.invalid_locations(locations, boundary))
 

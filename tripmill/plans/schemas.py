@@ -152,6 +152,16 @@ KEYS = {
     "datamarts.ml_base_table": ["trip_id"],
 }
 
+# Views: the tables they read, and their text.
+VIEWS = {
+    "dim_spatial.vw_stations_with_zones": (
+        ["dim_spatial.weather_stations_points", "dim_spatial.weather_voronoi_zones"],
+        """SELECT s.station_id, s.station_name, s.longitude, s.latitude, s.geometry_wkt AS station_geometry,
+            z.zone_id, z.geometry_wkt AS zone_geometry, z.area_km2, s.created_at
+        FROM {0} s LEFT JOIN {1} z ON s.station_id = z.station_id""",
+    ),
+}
+
 # Upserts: the columns a matched row takes from the source. The others keep their stored value.
 UPDATES = {
     "fact_tables.fact_trips": [

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tripmill.operators.checks import require_none, require_unique
 from tripmill.operators.upsert import upsert
-from tripmill.plans.schemas import DAY, EVENT_TIME, KEYS, TABLES, UPDATES
+from tripmill.plans.schemas import DAY, EVENT_TIME, KEYS, TABLES, UPDATES, VIEWS
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +39,7 @@ class Warehouse:
     # -- definition ---------------------------------------------------------------------------
 
     def create(self, *tables: str) -> None:
-        """Schemas and tables that do not exist yet; all tables if none are named."""
+        """Schemas and tables that do not exist yet, all tables if none are named; and the views whose tables exist."""
         for schema in SCHEMAS:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{schema}")
         for table in tables or TABLES:
@@ -47,6 +47,10 @@ class Warehouse:
                 self._define(table, self._folder(table))
             elif table in EVENT_TIME:
                 self.finish(table)
+        for view, (read, text) in VIEWS.items():
+            # A view keeps to its tables' names, so it follows every switch of their folders.
+            if all(self.spark.catalog.tableExists(self.name(t)) for t in read):
+                self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(view)} AS {text.format(*map(self.name, read))}")
 
     def drop(self) -> None:
         """Forget the tables; files stay."""
