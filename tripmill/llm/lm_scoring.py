@@ -7,6 +7,9 @@ class), from the exact counts. Words with more than one TAIL-th of all words are
 are fewer than TAIL of them whatever the corpus). All rarer words are of the lowest band, so their classes
 need no counts; theirs are joined to the documents by word.
 
+Every word is hashed and looked up once: texts become one byte a word (its class), stored with what needs no network
+(the counted part of the score, words of the tail); both rounds of training and the scoring read those.
+
 The network adds one row of a table per position in the window (SIDE words to the left and right; the
 word itself is masked, the text's edges are a class of their own), a tanh layer and a softmax. It is
 trained in ROUNDS rounds: every task goes over its own texts, each round at other words, so that every
@@ -36,8 +39,10 @@ CLASSES = EDGE + 1
 SIDE, HIDDEN = 3, 24
 #: The lowest band begins where a word is at most one TAIL-th of all words: see ``bands``.
 TAIL = 1 << 3 * (BANDS + 1)
+#: Bits of a hash by which words above the tail are found.
+BUCKETS = 18
 #: Training: rounds over all texts, windows a step, step size.
-ROUNDS, STEP_WINDOWS, RATE = 2, 256, 0.1
+ROUNDS, STEP_WINDOWS, RATE = 2, 512, 0.1
 #: Words scored at once; words counted before counts are sent on.
 BATCH, COUNTED = 4096, 2_000_000
 
@@ -68,6 +73,11 @@ class Words:
         if len(frequent):
             self.own[np.searchsorted(self.head, frequent)] = np.arange(len(frequent))
         self.total, self.sizes = total, np.ones(CLASSES)
+        # Places by the hash's first bits, and how many steps from there at most.
+        limits = np.arange((1 << BUCKETS) + 1, dtype=object) << 64 - BUCKETS
+        self.starts = np.searchsorted(self.head, limits[:-1].astype(np.uint64)).astype(np.int32)
+        self.most = int(np.diff(self.starts, append=len(self.head)).max())
+        self.ended = np.append(self.head, np.uint64(2**64 - 1))
 
     @staticmethod
     def shared(band: np.ndarray | int, lengths: np.ndarray) -> np.ndarray:
@@ -77,8 +87,10 @@ class Words:
         """Places in the head; -1 for words of the tail."""
         if not len(self.head):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
-        return np.where(self.head[at] == hashes, at, -1)
+        at = self.starts[hashes >> np.uint64(64 - BUCKETS)].astype(np.int64)
+        for _ in range(self.most):
+            at += self.ended[at] < hashes
+        return np.where((self.ended[at] == hashes) & (at < len(self.head)), at, -1)
 
     def classes(self, places: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         tail = self.shared(BANDS - 1, lengths)
@@ -124,40 +136,63 @@ def windows(classes: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return padded[centres[:, None] + np.array(steps)]
 
 
+def sides(classes: np.ndarray, first: int, step: int) -> np.ndarray:
+    """As :func:`windows` for the centres ``first``, ``first + step`` and so on, one row a side."""
+    padded = np.concatenate((np.full(SIDE, EDGE), classes, np.full(SIDE, EDGE)))
+    n = len(classes)
+    return np.stack([padded[k + first : k + n : step] for k in range(2 * SIDE + 1) if k != SIDE])
+
+
 def hidden_of(net: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
     total = np.repeat(net["bias"][None], len(around), axis=0)
     for k in range(2 * SIDE):
         total += net["table"][k][around[:, k]]
-    return np.tanh(total)
+    return np.tanh(total, out=total)
+
+
+def outputs(net: dict[str, np.ndarray], hidden: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the hidden layer says of each class, before and without its prior; and the priors, as factors of at most 1."""
+    logits = hidden @ net["out"]
+    if np.abs(net["out"]).sum(axis=0).max() > 40:  # else no exponential overflows
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits, np.exp(net["prior"] - net["prior"].max())
 
 
 def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, centre: np.ndarray) -> np.ndarray:
-    logits = hidden_of(net, around) @ net["out"]
-    logits += net["prior"]
-    logits -= logits.max(axis=1, keepdims=True)
-    own = logits[np.arange(len(centre)), centre]
-    return own - np.log(np.exp(logits, out=logits).sum(axis=1))
+    logits, prior = outputs(net, hidden_of(net, around))
+    own = logits[np.arange(len(centre)), centre] + (net["prior"] - net["prior"].max())[centre]
+    return own - np.log(np.exp(logits, out=logits) @ prior)
+
+
+_COLUMNS = np.arange(HIDDEN)
+_ROWS = np.arange(2 * SIDE) * CLASSES
 
 
 def step(net: dict[str, np.ndarray], sums: dict[str, np.ndarray], around: np.ndarray, centre: np.ndarray) -> None:
-    """One step of gradient descent, each weight at its own rate."""
+    """One step of gradient descent, each weight at its own rate.
+
+    Probabilities are never written out: with e the exponentials, w the priors and z = e w, they are e w / z, and the
+    factors w and 1 / z are put on the small sides of the products.
+    """
     hidden = hidden_of(net, around)
-    p = hidden @ net["out"]
-    p += net["prior"]
-    p -= p.max(axis=1, keepdims=True)
-    np.exp(p, out=p)
-    p *= 1 / (p.sum(axis=1, keepdims=True) * len(centre))
-    p[np.arange(len(centre)), centre] -= 1 / len(centre)
-    back = (p @ net["out"].T) * (1 - hidden**2)
-    # The table's rows take the sums of their windows, all sides at once.
-    rows = (around + np.arange(2 * SIDE) * CLASSES).T.ravel()
-    table = np.empty((2 * SIDE * CLASSES, HIDDEN), dtype=np.float32)
-    for i, weights in enumerate(np.tile(back.T.astype(float), 2 * SIDE)):
-        table[:, i] = np.bincount(rows, weights, len(table))
-    slopes = {"out": hidden.T @ p, "prior": p.sum(axis=0), "bias": back.sum(axis=0), "table": table.reshape(net["table"].shape)}
+    e, prior = outputs(net, hidden)
+    z = np.exp(e, out=e) @ prior
+    e[np.arange(len(centre)), centre] -= z / prior[centre]
+    scale = (1 / (z * len(centre)))[:, None]
+    back = (e @ (net["out"] * prior).T) * ((1 - hidden * hidden) * scale)
+    hidden *= scale
+    # The table's rows take the sums of their windows, all sides and columns at once.
+    cells = ((around + _ROWS)[:, :, None] * HIDDEN + _COLUMNS).ravel()
+    table = np.bincount(cells, np.broadcast_to(back[:, None, :], (len(back), 2 * SIDE, HIDDEN)).ravel(), net["table"].size)
+    slopes = {
+        "out": (hidden.T @ e) * prior, "prior": (scale.T @ e)[0] * prior, "bias": back.sum(axis=0),
+        "table": table.astype(np.float32).reshape(net["table"].shape),
+    }
     for name, slope in slopes.items():
-        sums[name] += slope**2
-        net[name] -= RATE * slope / np.sqrt(sums[name] + 1e-6)
+        held = sums[name]
+        held += slope * slope
+        rate = np.sqrt(held + np.float32(1e-6))
+        net[name] -= np.divide(slope, rate, out=rate) * np.float32(RATE)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -217,76 +252,102 @@ def targets(n: int, turn: int, rounds: int) -> np.ndarray:
     return np.arange(turn, n, rounds)
 
 
+def encode(docs: DataFrame, words: Words) -> DataFrame:
+    """Per document: doc_id, n_words, the class of each word as a byte, ``known`` = the sum of log P(word | class)
+    without the log n of words of the tail, and those words."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def batches(parts):
+        known = shared.value
+
+        def one(text):
+            hashes, places, classes = known.of(text or "")
+            return len(classes), classes.astype(np.uint8).tobytes(), float(known.within(places, classes).sum()), hashes[places < 0].view(np.int64)
+
+        yield from per_text(one, ["doc_id"], ["n_words", "classes", "known", "tail"])(parts)
+
+    schema = "doc_id bigint, n_words bigint, classes binary, known double, tail array<bigint>"
+    return docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text").mapInArrow(batches, schema)
+
+
 def train(docs: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
-    """Rounds of training in every task, averaged: in groups first, then the groups' sums on the driver."""
-    context = docs.sparkSession.sparkContext
-    shared_words, net = context.broadcast(words), initial(words.sizes)
+    return train_encoded(encode(docs, words), words, rounds)
+
+
+def train_encoded(encoded: DataFrame, words: Words, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Rounds of training in every task, averaged: in groups of groups of tasks first, then the groups' sums on the driver."""
+    context, net = encoded.sparkSession.sparkContext, initial(words.sizes)
     for turn in range(rounds):
         shared_net = context.broadcast(flat(net))
 
         def batches(parts, turn=turn, shared_net=shared_net):
-            own, known = shaped(shared_net.value), shared_words.value
+            own = shaped(shared_net.value)
             sums = {name: np.zeros(shape, dtype=np.float32) for name, shape in _SHAPES}
             held, size, seen = [], 0, 0
             for part in parts:
-                for text in part.column("text"):
-                    *_, classes = known.of(text.as_py() or "")
-                    centres = targets(len(classes), turn, rounds)
-                    if not len(centres):
+                for text in part.column("classes"):
+                    classes = np.frombuffer(text.as_py(), np.uint8).astype(np.int64)
+                    n = len(targets(len(classes), turn, rounds))
+                    if not n:
                         continue
-                    held.append((windows(classes, centres), classes[centres]))
-                    size += len(centres)
+                    held.append((sides(classes, turn, rounds), classes[turn::rounds]))
+                    size += n
                     if size >= STEP_WINDOWS:
-                        around, centre = (np.concatenate(x) for x in zip(*held, strict=True))
+                        around, centre = np.concatenate([x for x, _ in held], axis=1), np.concatenate([x for _, x in held])
                         whole = size - size % STEP_WINDOWS
                         for k in range(0, whole, STEP_WINDOWS):
-                            step(own, sums, around[k : k + STEP_WINDOWS], centre[k : k + STEP_WINDOWS])
-                        held, size, seen = [(around[whole:], centre[whole:])], size - whole, seen + whole
+                            step(own, sums, around[:, k : k + STEP_WINDOWS].T, centre[k : k + STEP_WINDOWS])
+                        held, size, seen = [(around[:, whole:], centre[whole:])], size - whole, seen + whole
             if size:
-                step(own, sums, *(np.concatenate(x) for x in zip(*held, strict=True)))
+                step(own, sums, np.concatenate([x for x, _ in held], axis=1).T, np.concatenate([x for _, x in held]))
                 seen += size
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([(flat(own) * seen).astype(np.float32).tobytes()])], names=["n", "weights"])
+                weights = (flat(own).astype(float) * seen).tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([weights])], names=["n", "weights"])
 
-        def added(group: pa.Table) -> pa.Table:
+        def added(group):
             total = np.zeros(len(flat(initial(np.ones(CLASSES)))))
             for w in group.column("weights"):
-                total += np.frombuffer(w.as_py(), np.float32)
+                total += np.frombuffer(w.as_py(), np.float64)
             return pa.table({"n": [sum(group.column("n").to_pylist())], "weights": [total.tobytes()]})
 
-        trained = docs.select("text").mapInArrow(batches, "n bigint, weights binary")
-        trained = trained.withColumn("part", F.pmod(F.xxhash64("n", "weights"), F.lit(16)))
-        sums = trained.groupBy("part").applyInArrow(added, "n bigint, weights binary").collect()
-        if not sums:
+        sums = encoded.select("classes").mapInArrow(batches, "n bigint, weights binary")
+        for groups in (4096, 16):
+            sums = sums.withColumn("part", F.pmod(F.xxhash64("n", "weights"), F.lit(groups)))
+            sums = sums.groupBy("part").applyInArrow(added, "n bigint, weights binary")
+        found = sums.collect()
+        if not found:
             return net
-        total = np.sum([np.frombuffer(r["weights"], np.float64) for r in sums], axis=0)
-        net = shaped((total / sum(r["n"] for r in sums)).astype(np.float32))
+        total = np.sum([np.frombuffer(r["weights"], np.float64) for r in found], axis=0)
+        net = shaped((total / sum(r["n"] for r in found)).astype(np.float32))
     return net
 
 
 def score(docs: DataFrame, words: Words, net: dict[str, np.ndarray], counts: DataFrame | None = None) -> DataFrame:
+    return score_encoded(encode(docs, words), words, net, counts)
+
+
+def score_encoded(encoded: DataFrame, words: Words, net: dict[str, np.ndarray], counts: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, pseudo_ll (sum of log-probabilities), mean_ll.
 
     ``counts``: the stored counts of words; without them, all words must be in the head of ``words``.
     """
-    context = docs.sparkSession.sparkContext
-    shared_words, shared_net = context.broadcast(words), context.broadcast(flat(net))
+    shared_net = encoded.sparkSession.sparkContext.broadcast(flat(net))
 
     def batches(parts):
-        known, own = shared_words.value, shaped(shared_net.value)
-
-        def one(text):
-            hashes, places, classes = known.of(text or "")
-            total = float(known.within(places, classes).sum())
-            for at in range(0, len(classes), BATCH):
-                centres = np.arange(at, min(at + BATCH, len(classes)))
-                total += float(log_probabilities(own, windows(classes, centres), classes[centres]).sum())
-            return len(classes), total, hashes[places < 0].view(np.int64)
-
-        yield from per_text(one, ["doc_id"], ["n_words", "pseudo_ll", "tail"])(parts)
-
-    schema = "doc_id bigint, n_words bigint, pseudo_ll double, tail array<bigint>"
-    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text").mapInArrow(batches, schema)
+        own = shaped(shared_net.value)
+        for part in parts:
+            rows = []
+            for text, known in zip(part.column("classes"), part.column("known").to_pylist(), strict=True):
+                classes = np.frombuffer(text.as_py(), np.uint8).astype(np.int64)
+                around, total = sides(classes, 0, 1), known
+                for at in range(0, len(classes), BATCH):
+                    total += float(log_probabilities(own, around[:, at : at + BATCH].T, classes[at : at + BATCH]).sum())
+                rows.append(total)
+            columns = [part.column("doc_id"), part.column("n_words"), pa.array(rows, pa.float64()), part.column("tail")]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "pseudo_ll", "tail"])
+
+    rows = encoded.mapInArrow(batches, "doc_id bigint, n_words bigint, pseudo_ll double, tail array<bigint>")
     if counts is not None and not counts.where(f"n * {TAIL} <= {int(words.total)}").isEmpty():
         # Documents have no key of their own; the stored one stays as it is. Words seen once have a log n of 0.
         rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "lm-tail")
@@ -299,4 +360,5 @@ def score(docs: DataFrame, words: Words, net: dict[str, np.ndarray], counts: Dat
 def score_corpus(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(docs), "lm-words")
     words = vocabulary(counts)
-    return score(docs, words, train(docs, words), counts)
+    encoded = stored(encode(docs, words), "lm-classes")
+    return score_encoded(encoded, words, train_encoded(encoded, words), counts)
