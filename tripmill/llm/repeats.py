@@ -147,7 +147,7 @@ def _survivors(rows: DataFrame) -> DataFrame:
     held = F.xxhash64("t")
     counts = rows.groupBy("name").agg(F.count("*").alias("n"), F.min(held).alias("a"), F.max(held).alias("b"))
     counts = stored(counts.where("a <> b").select("name", "n"), "repeat-names")
-    return join_groups(rows, counts, "name", "n").groupBy("t").agg(F.collect_set("name").alias("names"))
+    return stored(join_groups(rows, counts, "name", "n").groupBy("t").agg(F.collect_set("name").alias("names")), "repeat-survivors")
 
 
 def _hashed(text: str | None, names_of: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
