@@ -130,3 +130,12 @@ def test_order_scores_above_disorder_as_in_production(spark):
     rows = lm.score(docs, words, lm.train(docs, words)).collect()
     good, bad = (np.mean([r["mean_ll"] for r in rows if (r["doc_id"] % 8 == 7) is b]) for b in (False, True))
     assert good > bad + 0.3
+
+
+def test_texts_laid_out_together():
+    texts = [bytes([1, 2, 3, 4, 5]), b"", bytes([9]), bytes(range(10, 30))]
+    around, centre, place, owner = lm.laid_out(texts)
+    want = [lm.windows(np.frombuffer(t, np.uint8).astype(np.int64), np.arange(len(t))) for t in texts if t]
+    assert np.array_equal(around.T, np.concatenate(want)) and bytes(centre) == b"".join(texts)
+    assert place.tolist() == [i for t in texts for i in range(len(t))] and owner.tolist() == [k for k, t in enumerate(texts) for _ in t]
+    assert [len(x) for x in lm.laid_out([b"", b""])] == [6, 0, 0, 0]

@@ -42,9 +42,9 @@ TAIL = 1 << 3 * (BANDS + 1)
 #: Bits of a hash by which words above the tail are found.
 BUCKETS = 18
 #: Training: rounds over all texts, windows a step, step size.
-ROUNDS, STEP_WINDOWS, RATE = 2, 512, 0.1
-#: Words scored at once; words counted before counts are sent on.
-BATCH, COUNTED = 4096, 2_000_000
+ROUNDS, STEP_WINDOWS, RATE = 2, 1024, 0.1
+#: Words scored at once; words counted before counts are sent on; words laid out at once.
+BATCH, COUNTED, LAID = 4096, 2_000_000, 65_536
 
 _SHAPES = [("table", (2 * SIDE, CLASSES, HIDDEN)), ("bias", (HIDDEN,)), ("out", (HIDDEN, CLASSES)), ("prior", (CLASSES,))]
 _SPACE = np.zeros(256, dtype=bool)
@@ -136,11 +136,29 @@ def windows(classes: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return padded[centres[:, None] + np.array(steps)]
 
 
-def sides(classes: np.ndarray, first: int, step: int) -> np.ndarray:
-    """As :func:`windows` for the centres ``first``, ``first + step`` and so on, one row a side."""
-    padded = np.concatenate((np.full(SIDE, EDGE), classes, np.full(SIDE, EDGE)))
-    n = len(classes)
-    return np.stack([padded[k + first : k + n : step] for k in range(2 * SIDE + 1) if k != SIDE])
+def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For all words of all texts in order: classes around (one row a side), class, place in the text, number of the text."""
+    edge = bytes([EDGE]) * SIDE
+    data = np.frombuffer(edge + edge.join(texts) + edge, np.uint8)
+    sizes = np.array(list(map(len, texts)), np.int64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = place + np.repeat(np.cumsum(sizes + SIDE) - sizes, sizes)
+    return np.stack([data[at + k] for k in range(-SIDE, SIDE + 1) if k]), data[at], place, owner
+
+
+def _texts(parts, column: str):
+    """Texts of a task's batches, so many at a time that they have LAID words or are one text."""
+    held, size = [], 0
+    for part in parts:
+        for text in part.column(column):
+            held.append(text.as_py())
+            size += len(held[-1])
+            if size >= LAID:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 def hidden_of(net: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
@@ -249,7 +267,8 @@ def vocabulary(counts: DataFrame) -> Words:
 
 def targets(n: int, turn: int, rounds: int) -> np.ndarray:
     """The words of a text that a round trains on: together the rounds have each word once."""
-    return np.arange(turn, n, rounds)
+    place = np.arange(n)
+    return place[place % rounds == turn]
 
 
 def encode(docs: DataFrame, words: Words) -> DataFrame:
@@ -283,24 +302,19 @@ def train_encoded(encoded: DataFrame, words: Words, rounds: int = ROUNDS) -> dic
         def batches(parts, turn=turn, shared_net=shared_net):
             own = shaped(shared_net.value)
             sums = {name: np.zeros(shape, dtype=np.float32) for name, shape in _SHAPES}
-            held, size, seen = [], 0, 0
-            for part in parts:
-                for text in part.column("classes"):
-                    classes = np.frombuffer(text.as_py(), np.uint8).astype(np.int64)
-                    n = len(targets(len(classes), turn, rounds))
-                    if not n:
-                        continue
-                    held.append((sides(classes, turn, rounds), classes[turn::rounds]))
-                    size += n
-                    if size >= STEP_WINDOWS:
-                        around, centre = np.concatenate([x for x, _ in held], axis=1), np.concatenate([x for _, x in held])
-                        whole = size - size % STEP_WINDOWS
-                        for k in range(0, whole, STEP_WINDOWS):
-                            step(own, sums, around[:, k : k + STEP_WINDOWS].T, centre[k : k + STEP_WINDOWS])
-                        held, size, seen = [(around[:, whole:], centre[whole:])], size - whole, seen + whole
-            if size:
-                step(own, sums, np.concatenate([x for x, _ in held], axis=1).T, np.concatenate([x for _, x in held]))
-                seen += size
+            around, centre, seen = np.empty((2 * SIDE, 0), np.uint8), np.empty(0, np.uint8), 0
+            for texts in _texts(parts, "classes"):
+                more, own_class, place, _ = laid_out(texts)
+                chosen = place % rounds == turn
+                around = np.concatenate((around, more[:, chosen]), axis=1)
+                centre = np.concatenate((centre, own_class[chosen]))
+                whole = len(centre) - len(centre) % STEP_WINDOWS
+                for k in range(0, whole, STEP_WINDOWS):
+                    step(own, sums, around[:, k : k + STEP_WINDOWS].T, centre[k : k + STEP_WINDOWS])
+                around, centre, seen = around[:, whole:], centre[whole:], seen + whole
+            if len(centre):
+                step(own, sums, around.T, centre)
+                seen += len(centre)
             if seen:
                 weights = (flat(own).astype(float) * seen).tobytes()
                 yield pa.RecordBatch.from_arrays([pa.array([seen]), pa.array([weights])], names=["n", "weights"])
@@ -337,14 +351,13 @@ def score_encoded(encoded: DataFrame, words: Words, net: dict[str, np.ndarray],
     def batches(parts):
         own = shaped(shared_net.value)
         for part in parts:
-            rows = []
-            for text, known in zip(part.column("classes"), part.column("known").to_pylist(), strict=True):
-                classes = np.frombuffer(text.as_py(), np.uint8).astype(np.int64)
-                around, total = sides(classes, 0, 1), known
-                for at in range(0, len(classes), BATCH):
-                    total += float(log_probabilities(own, around[:, at : at + BATCH].T, classes[at : at + BATCH]).sum())
-                rows.append(total)
-            columns = [part.column("doc_id"), part.column("n_words"), pa.array(rows, pa.float64()), part.column("tail")]
+            totals = []
+            for texts in _texts([part], "classes"):
+                around, centre, _, owner = laid_out(texts)
+                each = [log_probabilities(own, around[:, at : at + BATCH].T, centre[at : at + BATCH]) for at in range(0, len(centre), BATCH)]
+                totals.append(np.bincount(owner, np.concatenate(each) if each else None, len(texts)))
+            total = part.column("known").to_numpy() + (np.concatenate(totals) if totals else 0.0)
+            columns = [part.column("doc_id"), part.column("n_words"), pa.array(total, pa.float64()), part.column("tail")]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "pseudo_ll", "tail"])
 
     rows = encoded.mapInArrow(batches, "doc_id bigint, n_words bigint, pseudo_ll double, tail array<bigint>")
