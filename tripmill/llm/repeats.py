@@ -222,7 +222,7 @@ def report(docs: DataFrame, width: int = WIDTH, shortest: int = SHORTEST) -> Dat
     kinds = {"cuts": pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())])), "rest": pa.string()}
     parts = whole.dropDuplicates(["t"]).join(later, "t").mapInArrow(_rows(cut, ["t"], ["text", "x", "y"], kinds), f"t binary, cuts {cut_type}, rest string")
 
-    groups = groups.join(parts, "t", "left")
+    groups = stored(groups.join(parts, "t", "left"), "repeat-cuts")
     rows = join_groups(seen.select("doc_id", "t", "n_words", "whole"), groups, "t", "copies")
     copy = F.expr(f"n_words >= {width} AND first_id IS NOT NULL AND (doc_id IS NULL OR doc_id > first_id)")
     everything = F.array(F.struct(F.lit(0).alias("from"), F.col("n_words").cast("int").alias("to")))
