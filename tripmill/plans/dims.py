@@ -210,8 +210,9 @@ def in_degrees(*tables: DataFrame) -> list[DataFrame]:
     """The tables with all geometries in EPSG:4326: those in EPSG:26916 are re-projected, any other system is refused."""
     out = []
     for t in tables:
-        if "crs" in t.columns:
-            t = reprojected(t)
+        if "crs" in t.columns and not crs_rows(t, CRS).isEmpty():
+            # Stored: the formula is long, and lookups read their polygons several times.
+            t = stored(reprojected(t), "degrees")
             require_crs(t)
         out.append(t)
     return out
