@@ -4,6 +4,7 @@ import html
 import itertools
 import random
 import re
+import time
 
 from tripmill.llm import html_text
 from tripmill.llm.catalogue import QUERIES
@@ -103,3 +104,42 @@ def test_names_of_containers_around_the_article():
 def test_deep_pages_stay_quick():
     deep = "<div class=with-sidebar>" * 20_000
     assert html_text.main_text(deep + f"<article>{BODY}</article>") == TEXT
+
+
+def test_quotes_count_only_where_a_value_begins():
+    four = "".join(f"<p title=don't>Paragraph {i} of some words. It has marks.</p>" for i in range(4))
+    assert html_text.main_text(f"<article>{four}</article>") == " ".join(f"Paragraph {i} of some words. It has marks." for i in range(4))
+    assert html_text.main_text(f"<article><p title='a > b' class = \"x>y\" data-z=\"it's\">{TEXT}</p></article>") == TEXT
+    assert html_text.main_text(f'<article><p title="never closed>{TEXT}</p></article>') == TEXT
+    assert html_text.main_text(f"<article><p a\"b 'c>{TEXT}</p></article>") == TEXT
+    assert html_text.attributes_of(""" class=a"b id='c d' hidden x = "1>2" class=z""") == {"class": 'a"b', "id": "c d", "hidden": "", "x": "1>2"}
+
+
+def test_bad_markup_takes_linear_time():
+    n = 1_000_000
+    bad = ["<" + "a" * n, "x <y " * (n // 5), '<a b="c ' * (n // 8), "<a b='c> " * (n // 9), "<! " * (n // 3), "</ " * (n // 3), "<!--" * (n // 4),
+           "<a " + "=" * n, "<a" + " " * n, "<b>" * (n // 6) + "</i>" * (n // 8), "<b>" * (n // 6) + "x<br>" * (n // 10), "<b>" * (n // 6) + "<p>" * (n // 6),
+           "<script>" + "</script " * (n // 9), "<" * n, "&" * n]
+    for page in bad:
+        began = time.process_time()
+        html_text.main_text(page)
+        html_text.main_text(f"<article>{BODY}</article>{page}>")
+        assert time.process_time() - began < 8, page[:20]
+
+
+def test_text_before_a_tag_that_never_ends_stays():
+    assert html_text.main_text(f"<article>{BODY}</article>" + "<a " * 9).startswith(TEXT)
+    assert html_text.main_text("<article><p>" + "x <y " * 50).count("<y") == 50
+
+
+def test_formulas_and_pictures_in_an_article_keep_their_text():
+    for inner in ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "<svg><text>x=1</text></svg>", "<object>x=1</object>", "<noscript>x=1</noscript>", "<canvas>x=1</canvas>"):
+        assert html_text.main_text(f"<article>{BODY}<p>We know that {inner} holds. It is so.</p></article>") == f"{TEXT} We know that x=1 holds. It is so."
+
+
+def test_pages_of_short_plain_lines_keep_them():
+    lines = ["Short line one.", "Short line two", "And three."]
+    nav = "<nav><a href=/>Home</a> <a href=/b>News</a></nav>"
+    page = f"<body>{nav}" + "".join(f"<div>{x}</div>" for x in lines) + "<footer>All rights.</footer></body>"
+    assert html_text.main_text(page) == " ".join(lines)
+    assert html_text.main_text(f"<body>{nav}<div><a href=/x>All of it a link</a></div></body>") == ""

@@ -9,16 +9,22 @@ the tree. The maximum flow gives the cheapest labelling; blocks on the source's
 Names such as "with-sidebar" or "has-comments" on a container around the page's article tell of what the
 page has, not of all its text: see ``weigh``.
 
+Where the cut leaves nothing of a page, it is made again with the costs of the blocks outside bad containers
+raised by one amount, so that the best of them is content: a page of short plain lines keeps them.
+
 Text of head, script, style, form controls and comments is never a block. Defined results: null, empty
 and blank pages, and pages of markup alone, give an empty text. Unclosed and stray tags are taken as
-browsers do: a closing tag ends what is open up to its match, or nothing. Character references without
-a semicolon are decoded where HTML knows them so. Whole pages are read; null ids and repeated rows are
-rows like others.
+browsers do: a closing tag ends what is open up to its match, or nothing; quotes count as such only where
+a value begins; a last tag without its end is text if no ">" follows at all. Character references without
+a semicolon are decoded where HTML knows them so. Whole pages are read, in time linear in their length, whatever
+their markup. Null ids and repeated rows are rows like others, equal costs give equal labels on every run, an
+empty table gives an empty result, and extra columns of any name are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import DataFrame
@@ -33,8 +39,8 @@ BLOCKS = frozenset(
     "tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style noscript template title textarea select option button iframe object svg math canvas audio video".split())
-RAW = frozenset("script style textarea title noscript iframe".split())
+HIDDEN = frozenset("head script style template title textarea select option button iframe".split())
+RAW = frozenset("script style textarea title iframe".split())
 #: An opening tag of the first ends an open element of the second.
 ENDS = {"p": "p", "li": "li", "dt": "dt dd", "dd": "dt dd", "td": "td th", "th": "td th", "tr": "tr td th", "option": "option"}
 
@@ -62,9 +68,15 @@ START, WORD_COST, WORDS, MARK_COST, MARKS, LINK_COST = -0.6, 0.03, 40, 0.25, 4,
 ADJACENT, SIBLING = 0.4, 0.8
 #: Capacities below this are used up.
 TINY = 1e-9
+#: Cost of the best block of a page where the first cut left nothing.
+RAISED = 1.0
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
-_ATTRIBUTES = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# A value: quoted, or up to white space. All groups keep what they took, so no tag is read twice.
+_VALUE = r"""=\s*+(?>"[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_TOKEN = re.compile(
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/(?![a-zA-Z]))[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|{_VALUE})*+)>", re.DOTALL
+)
+_ATTRIBUTES = re.compile(r"""([^\s>/=]++)(?:\s*+=\s*+(?>"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?""")
 _SHOWN = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
 _PARTS = re.compile(r"[^a-z]+")
 
@@ -78,11 +90,13 @@ def attributes_of(text: str) -> dict[str, str]:
 
 
 class Element:
-    __slots__ = ("tag", "parent", "good", "bad", "named", "strong", "gone", "unseen", "hidden", "depth", "linked", "cost", "chars")
+    __slots__ = ("tag", "parent", "good", "bad", "named", "strong", "gone", "unseen", "hidden", "depth", "linked", "cost", "chars", "box")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
+        # The block element it stands in, or itself.
+        self.box = self if parent is None or tag in BLOCKS else parent.box
         self.gone = bool(parent and parent.gone) or tag in HIDDEN
         self.unseen = bool(parent and parent.unseen)
         self.linked = tag == "a" or bool(parent and parent.linked)
@@ -172,21 +186,29 @@ def blocks(html: str) -> list[Block]:
     top = here = Element("", None, "")
     elements = [top]
     parts: list[tuple[str, bool]] = []
+    still_open: Counter[str] = Counter()
+
+    def leave(element: Element) -> Element:
+        """Ends what is open up to ``element``; what it stands in."""
+        seek = here
+        while seek is not element:
+            still_open[seek.tag] -= 1
+            seek = seek.parent
+        still_open[element.tag] -= 1
+        return element.parent
 
     def close():
         if parts:
             text = " ".join("".join(t for t, _ in parts).split())
             if text:
                 linked = sum(len(" ".join(t.split())) for t, is_linked in parts if is_linked)
-                holder = here
-                while holder.tag and holder.tag not in BLOCKS:
-                    holder = holder.parent
-                out.append(Block(text, min(linked, len(text)), holder))
+                out.append(Block(text, min(linked, len(text)), here.box))
             parts.clear()
 
-    at, size = 0, len(html)
+    # Markup ends with the last ">": up to there every tag and comment has its end, or is none.
+    at, size = 0, html.rfind(">") + 1
     while at < size:
-        token = _TOKEN.search(html, at)
+        token = _TOKEN.search(html, at, size)
         start = token.start() if token else size
         if start > at and not here.hidden:
             parts.append((unescape(html[at:start]), here.linked))
@@ -194,37 +216,43 @@ def blocks(html: str) -> list[Block]:
             break
         at = token.end()
         if token[2] is None:
+            if token[0].startswith("<!--") and not token[0].endswith(("-->", "--!>")):
+                at = len(html)
             continue
         tag = token[2].lower()
         if tag in BLOCKS:
             close()
         if token[1]:
-            seek = here
-            while seek.tag and seek.tag != tag:
-                seek = seek.parent
-            if seek.tag:
-                here = seek.parent
+            if still_open[tag] > 0:
+                seek = here
+                while seek.tag != tag:
+                    seek = seek.parent
+                here = leave(seek)
             continue
         if tag in VOID:
             continue
         ended = ENDS.get(tag, "").split()
-        if ended:
+        if any(still_open[e] > 0 for e in ended):
             seek = here
             while seek.tag and seek.tag not in ended and (seek.tag not in BLOCKS or tag == "p"):
                 if seek.tag in ("div", "article", "section", "body", "table", "ul", "ol", "td", "th", "li", "main", "nav", "footer", "header", "aside", "form"):
                     break
                 seek = seek.parent
             if seek.tag in ended:
-                here = seek.parent
+                here = leave(seek)
         if tag == "body":
             # A page's text begins here whatever was left open before.
             here = top
+            still_open.clear()
         if not token[3].rstrip().endswith("/"):
             here = Element(tag, here, token[3])
             elements.append(here)
+            still_open[tag] += 1
             if tag in RAW:
-                end = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(html, at)
-                at = end.start() if end else size
+                end = re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE).search(html, at)
+                at = end.start() if end else len(html)
+    if not here.hidden and max(at, size) < len(html):
+        parts.append((unescape(html[max(at, size) :].partition("<!--")[0]), here.linked))
     close()
     weigh(elements, out)
     return out
@@ -318,7 +346,13 @@ def labelled(html: str | None) -> list[tuple[str, bool]]:
     found = blocks(html or "")
     if not found:
         return []
-    return list(zip([b.text for b in found], minimum_cut([b.cost for b in found], page_edges(found)), strict=True))
+    costs, edges = [b.cost for b in found], page_edges(found)
+    sides = minimum_cut(costs, edges)
+    plain = [b.holder.cost[1] > BAD_COST and 2 * b.linked < len(b.text) for b in found]
+    if not any(sides) and any(plain):
+        raised = RAISED - max(c for c, is_plain in zip(costs, plain, strict=True) if is_plain)
+        sides = minimum_cut([c + raised if is_plain else c for c, is_plain in zip(costs, plain, strict=True)], edges)
+    return list(zip([b.text for b in found], sides, strict=True))
 
 
 def main_text(html: str | None) -> str:
