@@ -117,3 +117,9 @@ def test_added_tokens_are_the_tokenizer_s(spark):
     assert 50256 in want[0]
     docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id bigint, text string")
     assert {r["doc_id"]: r["ids"] for r in packing.pieces(docs, TOKENIZER, PATTERN, ids=True).collect()} == want
+
+
+def test_long_runs_of_blanks_are_encoded():
+    encode, slow = packing.whole_encoder(TOKENIZER, PATTERN), Tokenizer.from_file(TOKENIZER)
+    for text in (" " * 2_000_000, "a b " + "\n" * 1_200_000 + "<|endoftext|> c", "x" + " \t" * 700_000 + "y"):
+        assert encode(text) == slow.encode(text, add_special_tokens=False).ids

@@ -14,8 +14,9 @@ sweep works on the runs: their number follows from the capacity (at most capacit
 number of documents, and only counts by length reach the driver. Ranks and places of the pieces are
 computed by Spark, in slices of bounded size, as any length may be that of most pieces.
 
-Defined results: null and empty texts are the end id alone. Rows with null or repeated ids are pieces
-like others. An empty table gives an empty result.
+Defined results: null and empty texts are the end id alone. Whole texts are encoded, runs of a million blanks
+included; one text and its ids are held at a time. Rows with null or repeated ids are pieces like others; which of
+equal pieces goes where is open, their places are not. An empty table gives an empty result. Extra columns of any name are not read.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from __future__ import annotations
 import json
 import zlib
 from collections import defaultdict
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tripmill.llm.common import stored
 
@@ -64,8 +66,20 @@ def encoder(path: str, pattern: str):
 
 
 def whole_encoder(path: str, pattern: str):
-    """From a text to the ids that the file's tokenizer gives it, added tokens included."""
-    return partial(encoder(path, pattern).encode, allowed_special="all")
+    """From a text to the ids that the file's tokenizer gives it, added tokens included.
+
+    tiktoken refuses a text with a run of about a million blanks; such texts go to the slower library.
+    """
+    quick = encoder(path, pattern)
+    slow = cache(partial(Tokenizer.from_file, path))
+
+    def encode(text: str) -> list[int]:
+        try:
+            return quick.encode(text, allowed_special="all")
+        except ValueError:
+            return slow().encode(text, add_special_tokens=False).ids
+
+    return encode
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

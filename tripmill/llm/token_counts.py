@@ -12,7 +12,8 @@ Counts of a document's sections therefore add up to its tokens. Sections are the
 with its line end, unless another cutter is given; a cutter's sections follow on each other.
 
 Defined results: null and empty texts have one section with no characters and no tokens. Null ids and
-repeated rows are documents like others; an empty table gives an empty result.
+repeated rows are documents like others; an empty table gives an empty result. Whole texts are encoded, one at a time,
+runs of a million blanks included. Ties by ``most`` go to the earlier section. Extra columns of any name are not read.
 """
 
 from __future__ import annotations
