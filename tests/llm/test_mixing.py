@@ -5,6 +5,9 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from tripmill.llm import mixing
 
 
@@ -99,3 +102,25 @@ def test_quality_moves_chances(spark):
     taken = mixing.mix(docs).where("source = 'u'").groupBy("doc_id").sum("epochs").collect()
     good = sum(r[1] for r in taken if r[0] % 2)
     assert good > 1.2 * sum(r[1] for r in taken if r[0] % 2 == 0)
+
+
+def test_names_inside_disturb_nothing(spark, edges):
+    names = ["_size", "_key", "_epochs", "_alike", "_p_id", "_copy", "cell", "cells", "copy", "row", "key", "size", "u", "p_id", "p_source", "p_key", "epochs", "alike", "s", "b", "slice"]
+    docs = edges.selectExpr("doc_id", "text", "source", *[f"777 AS {c}" for c in names])
+    rows = mixing.mixed(docs)
+    assert rows.columns == docs.columns
+    got = rows.collect()
+    assert all(r[c] == 777 for r in got for c in names)
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((r["doc_id"], r["text"]) for r in mixing.mixed(edges).collect())
+
+
+@pytest.mark.parametrize("symbols", ["", "##########", None])
+def test_slices_are_even_at_any_quality(spark, monkeypatch, symbols):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 200)
+    tail = F.lit(symbols) if symbols is not None else F.expr("repeat('#', int(id % 11))")
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d e f g h i j"), tail).alias("text"), F.lit("s").alias("source"))
+    rows = mixing.weighed(docs)
+    cells = F.array_sort(F.collect_list(F.struct("cell", "rows")))
+    cells = rows.groupBy("cell").agg(F.count("*").alias("rows")).agg(cells.alias("cells"))
+    slices = rows.crossJoin(F.broadcast(cells)).select(F.floor(mixing.share_below(F.col("cells"), F.col("key")) * 100).alias("slice"))
+    assert slices.groupBy("slice").count().agg(F.max("count")).first()[0] < 3 * 200

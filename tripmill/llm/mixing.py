@@ -8,11 +8,14 @@ is in the prefix if more than half of it is, so a source misses its target by ha
 
 Defined results: null or blank texts have size 0, and 0 words are taken of them. A null source is a
 source of its own, after all others. Null ids and repeated rows are documents like others; rows that
-tie in key, id and text share one place each, in any order. No rows: no result.
+tie in key, id and text share one place each, in any order. Long texts are counted whole. Extra columns of any name are
+carried along as they are. No rows: no result.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,8 @@ SYMBOLS = "#*$%&|<>"
 LEAST_QUALITY = 0.05
 #: About so many documents are ordered by one task at a time.
 BUCKET_ROWS = 2_000
+#: Qualities in one cell differ by less than this factor: fewer than 100 cells.
+CELL = 1.05
 
 
 def words(text: Column) -> Column:
@@ -75,27 +80,42 @@ def mix(docs: DataFrame) -> DataFrame:
 
     ``row`` numbers the rows as read; ``epochs`` is how often the document is taken.
     """
+    return allotted(stored(weighed(docs), "mix-sizes"))
+
+
+def weighed(docs: DataFrame, *others: Column) -> DataFrame:
+    """``others`` and, per document, doc_id, source, size, key and the cell of its quality."""
     size = words(F.col("text"))
-    rows = docs.select("doc_id", "source", size.alias("size"), uniform(F.col("doc_id"), F.col("text")).alias("u"), quality(F.col("text"), size).alias("quality"))
-    rows = rows.withColumn("key", -F.log("u") / F.col("quality"))
-    rows = stored(rows.select("doc_id", "source", "size", "key"), "mix-sizes")
-    return allotted(rows)
+    rows = docs.select(*others, "doc_id", "source", size.alias("size"), uniform(F.col("doc_id"), F.col("text")).alias("u"), quality(F.col("text"), size).alias("quality"))
+    cell = F.floor(F.log(F.col("quality") / LEAST_QUALITY) / math.log(CELL)).cast("int")
+    return rows.withColumn("key", -F.log("u") / F.col("quality")).withColumn("cell", cell).drop("u", "quality")
+
+
+def share_below(cells: Column, key: Column) -> Column:
+    """The share of a source's keys that are expected up to ``key``, by its rows in each cell of quality: rises with the key."""
+    rate = lambda c: LEAST_QUALITY * F.pow(F.lit(CELL), c["cell"] + 0.5)
+    rows = F.aggregate(cells, F.lit(0.0), lambda total, c: total + c["rows"])
+    above = F.aggregate(cells, F.lit(0.0), lambda total, c: total + c["rows"] * F.exp(-key * rate(c)))
+    return F.greatest(F.lit(0.0), 1.0 - above / rows)
 
 
 def allotted(rows: DataFrame) -> DataFrame:
-    """From rows with doc_id, source, size and key; other columns are carried along."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
-    sizes = stored(sizes, "mix-sources")
-    plan = targets(sizes.drop("source_rows"))
-    plan = plan.join(sizes.select(F.col("source").alias("s"), "source_rows"), F.col("s").eqNullSafe(F.col("source"))).drop("s")
-    # exp(-key) is uniform where the quality is 1: slices of it hold about BUCKET_ROWS documents each.
+    """From rows with doc_id, source, size, key and cell; other columns are carried along."""
+    cells = rows.groupBy("source", "cell").agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
+    cells = cells.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.sum("rows").alias("source_rows"), F.sort_array(F.collect_list(F.struct("cell", "rows"))).alias("cells")
+    )
+    cells = stored(cells, "mix-sources")
+    plan = targets(cells.select("source", "source_size"))
+    plan = plan.join(cells.select(F.col("source").alias("s"), "source_rows", "cells"), F.col("s").eqNullSafe(F.col("source"))).drop("s")
+    # A key's expected share is uniform: slices of it hold about BUCKET_ROWS documents each, whatever their qualities.
     slices = F.ceil(F.col("source_rows") / BUCKET_ROWS)
     plan = plan.select(
-        F.col("source").alias("s"), "source_size", "target", slices.alias("slices"),
+        F.col("source").alias("s"), "source_size", "target", slices.alias("slices"), "cells",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole"),
     )
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    rows = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * F.col("slices")))
+    rows = rows.withColumn("slice", F.floor(share_below(F.col("cells"), F.col("key")) * F.col("slices"))).drop("cells", "cell")
     ahead = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     ahead = ahead.select(F.col("source").alias("s"), F.col("slice").alias("b"), F.coalesce(F.sum("slice_size").over(before), F.lit(0)).alias("ahead"))
@@ -116,17 +136,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     then moves once, to the task of its id, where it is repeated.
     """
     columns = docs.columns
-    size = words(F.col("text"))
-    key = -F.log(uniform(F.col("doc_id"), F.col("text"))) / quality(F.col("text"), size)
-    named = docs.select(*[F.col(f"`{c}`") for c in columns], size.alias("_size"), key.alias("_key"))
-    plan = stored(named.select(F.col("doc_id").alias("_id"), "doc_id", "source", F.col("_size").alias("size"), F.col("_key").alias("key")), "mix-sizes")
-    plan = allotted(plan).where("epochs > 0")
+    # The caller's columns travel as one, whatever their names.
+    keyed = weighed(docs, F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    plan = allotted(stored(keyed.drop("row"), "mix-sizes")).where("epochs > 0")
     # Rows that tie in id, source and key are alike: they share the sum of what they got.
-    plan = plan.groupBy("doc_id", "source", "key").agg(F.sum("epochs").alias("_epochs"), F.count("*").alias("_alike"))
-    plan = plan.select(F.col("doc_id").alias("_p_id"), F.col("source").alias("_p_source"), F.col("key").alias("_p_key"), "_epochs", "_alike")
-    same = [F.col("doc_id").eqNullSafe(F.col("_p_id")), F.col("source").eqNullSafe(F.col("_p_source")), F.col("_key") == F.col("_p_key")]
-    rows = named.join(plan, same)
-    return rows.withColumn("_copy", F.explode(F.expr("sequence(1, int(ceil(_epochs / _alike)))"))).select(*[F.col(f"`{c}`") for c in columns])
+    plan = plan.groupBy("doc_id", "source", "key").agg(F.sum("epochs").alias("epochs"), F.count("*").alias("alike"))
+    plan = plan.select(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("key").alias("p_key"), "epochs", "alike")
+    same = [F.col("doc_id").eqNullSafe(F.col("p_id")), F.col("source").eqNullSafe(F.col("p_source")), F.col("key") == F.col("p_key")]
+    rows = keyed.join(plan, same).select("row", F.explode(F.expr("sequence(1, int(ceil(epochs / alike)))")).alias("copy"))
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 ORACLE = r"""
