@@ -105,6 +105,24 @@ def test_one_document_of_each_group_stays(edges):
     assert {r["doc_id"] for r in rows.collect()} == want
 
 
+def test_rows_with_repeated_and_null_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    one, near, other, lone = " ".join(base), " ".join(["x", *base]), " ".join(f"o{i}" for i in range(40)), " ".join(f"l{i}" for i in range(30))
+    rows = [
+        (1, one), (2, near), (2, lone), (None, near), (None, other), (None, other + " z"), (7, None), (7, None), (None, " "), (5, "ab"), (5, "ab"), (6, "ab"),
+        (9, " ".join(f"t{i}" for i in range(50))), (9, " ".join(f"t{i}" for i in range(51))),
+    ]
+    names = ["_kept", "row", "digest", "b_id", "b_digest", "n", "best", "component", "doc", "set_id", "alike"]
+    docs = spark.createDataFrame([(*r, *["m"] * len(names)) for r in rows], "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in names)).repartition(3)
+    kept = jaccard.keep(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    free = {k: n for k, n in got.items() if k[0] != 9 and not (k[0] is None and (k[1] or "").startswith("o0"))}
+    assert free == {(1, one): 1, (2, lone): 1, (7, None): 2, (None, " "): 1, (5, "ab"): 1}
+    assert sum(got.values()) == sum(free.values()) + 2  # one of each pair of near copies that share an id, or have none
+    assert all(r["_kept"] == r["n"] == "m" for r in kept.collect())
+
+
 def test_shingles_are_the_contract_s():
     rng = random.Random(5)
     for _ in range(200):

@@ -22,7 +22,9 @@ Sets of equal content are one set from the start (``set_id``). Then:
 No pair is lost: sets with a link share a key, thus a group, thus a task. Nothing is emitted per pair.
 
 Defined results: null, empty and blank texts have an empty set, no link, and their own id as component.
-A component's id is the smallest id in it, nulls aside. Repeated rows are returned as often as they come.
+A component's id is the smallest id in it, nulls aside. Repeated rows are returned as often as they come. Long texts are
+read whole; ties in size or frequency change no result; an empty table gives an empty result; extra columns of any name are
+carried by ``keep`` and not read elsewhere.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tripmill.llm import shingles as sh
-from tripmill.llm.common import join_groups, per_text, stored
+from tripmill.llm.common import SPACE, join_groups, per_text, stored
 from tripmill.llm.components import components
 
 #: Links: 100 * intersection >= PERCENT * union.
@@ -61,15 +64,18 @@ def prefix(n, percent: int = PERCENT):
     return n - -(-percent * n // 100) + 1
 
 
-def documents_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_id."""
+def documents_sets(docs: DataFrame, carried: dict[str, Column] | None = None) -> DataFrame:
+    """doc_id, ``carried`` (long integers or texts), n_shingles, set_id."""
+    carried = carried or {}
 
     def one(text):
         found = sh.shingle_set(text)
         return len(found), sh.set_id(found)
 
-    rows = docs.selectExpr("cast(doc_id as bigint) AS doc_id", "text")
-    return rows.mapInArrow(per_text(one, ["doc_id"], ["n_shingles", "set_id"]), "doc_id bigint, n_shingles bigint, set_id bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[c.alias(name) for name, c in carried.items()], "text")
+    kept = [f for f in rows.schema.fields if f.name != "text"]
+    schema = StructType([*kept, StructField("n_shingles", LongType()), StructField("set_id", LongType())])
+    return rows.mapInArrow(per_text(one, [f.name for f in kept], ["n_shingles", "set_id"]), schema)
 
 
 def _chunks(parts, size: int = CHUNK):
@@ -355,9 +361,12 @@ def links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.groupBy("component", "low", "high").applyInArrow(group, "a bigint, b bigint")
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, set_id, component_id."""
-    rows = stored(documents_sets(docs), "jaccard-sets")
+def classes(docs: DataFrame, carried: dict[str, Column] | None = None) -> DataFrame:
+    """One row per document: doc_id, n_shingles, set_id, component_id, component, and what is ``carried`` of it.
+
+    ``component`` names the group also where all ids in it are null; it is null for empty sets.
+    """
+    rows = stored(documents_sets(docs, carried), "jaccard-sets")
     known = stored(rows.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "jaccard-known")
     total = known.agg(F.count("*").alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     buckets = max(8, -(-total["n"] // BUCKET))
@@ -369,15 +378,32 @@ def classes(docs: DataFrame) -> DataFrame:
     known = known.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
     known = stored(known.withColumn("component", F.coalesce("component", "set_id")), "jaccard-known")
     first = known.groupBy("component").agg(F.min("first_id").alias("component_id"), F.count("*").alias("members"))
-    known = join_groups(known, first, "component", "members").select("set_id", "copies", "component_id")
+    known = join_groups(known, first, "component", "members").select("set_id", "copies", "component_id", "component")
     linked = join_groups(rows.where("set_id IS NOT NULL"), known, "set_id", "copies")
-    alone = rows.where("set_id IS NULL").withColumn("component_id", F.col("doc_id"))
-    columns = ["doc_id", "n_shingles", "set_id", "component_id"]
+    alone = rows.where("set_id IS NULL").withColumn("component_id", F.col("doc_id")).withColumn("component", F.lit(None).cast("bigint"))
+    columns = ["doc_id", "n_shingles", "set_id", "component_id", "component", *(carried or {})]
     return linked.select(columns).unionByName(alone.select(columns))
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; empty texts stay."""
-    found = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = found.select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """One document of each component, with all its columns; documents without words all stay.
+
+    The smallest id stays, nulls last; of rows that share it, the one whose text has the smallest digest; of
+    rows alike in id and text, the one whose other columns have it.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    found = classes(docs, {"digest": digest}).where("component IS NOT NULL").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alike = found.groupBy("component", "doc_id", "digest").agg(F.count("*").alias("n"))
+    best = alike.groupBy("component").agg(F.min(F.struct("digest", "doc_id", "n")).alias("best"))
+    best = stored(best.select(F.col("best.doc_id").alias("b_id"), F.col("best.digest").alias("b_digest"), F.col("best.n").alias("n")), "jaccard-kept")
+    # The caller's columns travel as one, whatever their names.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), digest.alias("digest"), "text")
+    wordless = ~F.coalesce(F.col("text").rlike(f"[^{SPACE}]"), F.lit(False))
+    same = F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("digest") == F.col("b_digest"))
+    worded = rows.where(~wordless).drop("text")
+    kept = rows.where(wordless).select("row").unionByName(worded.join(best.where("n = 1"), same, "left_semi").select("row"))
+    repeated = best.where("n > 1")
+    if not repeated.isEmpty():
+        groups = worded.join(repeated, same, "left_semi").groupBy("doc_id", "digest")
+        kept = kept.unionByName(groups.agg(F.min_by("row", F.xxhash64(F.col("row").cast("string"))).alias("row")).select("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
