@@ -21,7 +21,7 @@ from tripmill.operators.zones import voronoi_zones
 from tripmill.plans import dims, extracts, facts, jobs, marts
 from tripmill.plans.schemas import TRAFFIC, TRIPS
 from tripmill.session import new_folder
-from tripmill.sources import landing
+from tripmill.sources import arrays, landing
 from tripmill.sources.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,13 @@ def src_json_records(spark, sf):
     return landing.read_records(spark, folder, landing.TRIP_FIELDS)
 
 
+@query("src_json_array", _RAW_TRIPS)
+def src_json_array(spark, sf):
+    folder = new_folder(spark, "landed-arrays")
+    arrays.land_arrays(td.raw_trips(spark, sf), folder)
+    return landing.read_records(spark, folder, landing.TRIP_FIELDS, whole_files=True)
+
+
 @query(
     "src_weather_json",
     """SELECT record_id, station_id, CAST(CAST(datetime AS DATE) AS VARCHAR) AS datetime, temp::VARCHAR AS temp,

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tripmill.functions.places import latlon_text, record_key
 from tripmill.functions.typing import string_schema
+from tripmill.sources.arrays import object_texts
 
 # Columns as the feeds deliver them.
 TRIP_FIELDS = [
@@ -40,10 +41,18 @@ def land_by_day(records: DataFrame, time: str, path: str) -> None:
 def read_records(spark: SparkSession, path: str, fields: list[str], whole_files: bool = False) -> DataFrame:
     """Records of a response that is a list of objects; anything else in the response is no data.
 
-    The list is an array (``whole_files``) or one object per line. Nested values arrive as JSON text.
+    The list is an array that is the whole file (``whole_files``; a large one is read by many tasks, see
+    :mod:`tripmill.sources.arrays`) or one object per line. Nested values arrive as JSON text. An array's
+    object that cannot be read is no record.
     Folders by day (:func:`land_by_day`) add the column LANDED_DAY, by which an extract reads only its days.
     """
-    df = spark.read.schema(string_schema(fields)).json(path, multiLine=whole_files)
+    if whole_files:
+        texts, folders = object_texts(spark, path)
+        record = F.from_json("text", string_schema(fields))
+        df = texts.select(record.alias("_record"), *folders)
+        df = df.select(*[F.col(f"_record.{c}") for c in fields if c not in folders], *folders)
+        return df.na.drop(how="all", subset=fields)
+    df = spark.read.schema(string_schema(fields)).json(path)
     return df.na.drop(how="all", subset=fields)
 
 
