@@ -111,6 +111,29 @@ def test_many_edges_against_brute_force(spark):
     assert inside(spark, spots, *texts) == want
 
 
+def test_steep_edges_are_cut_into_upright_bands(spark):
+    """A saw of 4000 teeth, each edge of which reaches through half its height: few edges a band, the same points inside."""
+    rng = random.Random(5)
+    teeth = [(k / 100, 1 + k * 37 % 100 / 50) for k in range(4000)]
+    hole = [(5.05, 0.5), (9.05, 0.7), (9.0, 0.9), (5.0, 0.8), (5.05, 0.5)]
+    rings = [[*teeth, (40.0, 0.0), (-0.5, 0.0), teeth[0]], hole]
+    text = "POLYGON (" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + ")" for ring in rings) + ")"
+    filed = spatial.polygon_bands(polygons(spark, text), "poly").cache()
+    assert filed.agg(F.max(F.size("edges"))).first()[0] <= 4 * spatial.BAND_EDGES
+    assert filed.agg(F.sum(F.size("edges"))).first()[0] <= 2 * 4006
+    cuts = [r["lo"] for r in filed.select("lo").collect()]
+    spots = [(rng.uniform(-1, 41), rng.uniform(-0.1, 3.1)) for _ in range(500)]
+    spots += [(rng.choice(cuts), rng.uniform(0, 3)) for _ in range(200)] + teeth[::50] + [(x, 1.0) for x, _ in teeth[::40]] + hole
+    spots = list(dict.fromkeys(spots))
+    edges = [(*a, *b) for ring in rings for a, b in zip(ring, ring[1:])]
+
+    def within(x, y):
+        odd = sum((b > y) != (d > y) and x < a + (y - b) / (d - b) * (c - a) for a, b, c, d in edges) % 2
+        return odd and not any(min(a, c) <= x <= max(a, c) and min(b, d) <= y <= max(b, d) and (c - a) * (y - b) == (d - b) * (x - a) for a, b, c, d in edges)
+
+    assert inside(spark, spots, text) == {(p, 0) for p in spots if within(*p)}
+
+
 def test_point_lookup_is_an_equi_join(spark):
     pts = points(spark, [(1.0, 1.0)])
     plan = spatial.within_pairs(pts, "id", polygons(spark, DONUT), "poly")._jdf.queryExecution().executedPlan().toString()
