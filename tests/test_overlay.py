@@ -7,6 +7,7 @@ import pytest
 from conftest import tuples
 from pyspark.sql import functions as F
 
+from tripmill.operators import overlay
 from tripmill.operators.overlay import dissolve
 from tripmill.operators.spatial import polygon_edges, within_pairs
 from tripmill.plans import dims
@@ -87,3 +88,20 @@ def test_boundary_without_inner_edges(spark):
 
 def test_nothing(spark):
     assert dissolve(spark.createDataFrame([], "k int, geometry_wkt string"), "k").count() == 0
+
+
+def test_geometries_in_one_place_do_not_meet(spark, monkeypatch):
+    """Pieces are looked up among the parts of their own geometry: as many pairs for each as for one alone."""
+    found, plain = [], overlay.within_pairs
+
+    def counted(*args, **options):
+        pairs = plain(*args, **options)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(overlay, "within_pairs", counted)
+    boxes = [box(0, 0, 3, 3), box(1, 1, 4, 4), box(2, 0, 5, 2)]
+    assert shapes(spark, [(1, polygon(b)) for b in boxes]) == {1: (17.0, 1, 0)}
+    alone, found[:] = found[0], []
+    assert shapes(spark, [(k, polygon(b)) for k in range(6) for b in boxes]) == {k: (17.0, 1, 0) for k in range(6)}
+    assert alone > 0 and found[0] == 6 * alone
