@@ -88,3 +88,21 @@ def test_cuts_follow_the_rows(spark):
     assert cuts == sorted(set(cuts)) and len(cuts) > 20
     assert all(r["count(1)"] <= 50 for r in held)
     assert slices.time_cuts([(df.limit(0), df["t"])]) == []
+
+
+def test_tables_are_computed_twice_at_most(spark, monkeypatch):
+    """Once for the points of both tables, from which slices, order and ends come, and once for the rows that are answered."""
+    monkeypatch.setattr(slices, "SLICE_ROWS", 50)
+    passed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    probes = [(i, "k", at(i * 7 % 400)) for i in range(400)]
+    left = spark.createDataFrame(probes, "id int, k string, t timestamp_ntz").mapInArrow(seen, "id int, k string, t timestamp_ntz")
+    right = spark.createDataFrame([(f"r{i}", "k", at(i * 3)) for i in range(100)], "rec string, k string, t timestamp_ntz")
+    found = asof_nearest(left, right, "k", "t", "t", "rec", {"rec": "near"})
+    assert found.count() == 400 and len(found.select("near").collect()) == 400
+    assert passed.value <= 3 * 400  # found is run twice here
