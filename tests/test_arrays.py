@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 
+import pyarrow as pa
 import pytest
 from conftest import tuples
 from hypothesis import HealthCheck, given, settings
@@ -106,3 +107,25 @@ def test_folders_become_columns(spark, tmp_path):
     assert sorted((r[0], str(r[1])) for r in df.collect()) == [
         ("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-02"), ("}", "2024-01-01"), ("}", "2024-01-02")
     ]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet='a"\\\\{[],é', max_size=12), max_size=8), st.integers(0, 3))
+def test_states_of_chunks(texts, offset):
+    """Quotes and both depths of every chunk, told from the bytes of a batch, against a reader of one character at a time."""
+
+    def read(text, quoted):
+        depth, odd, i = 0, 0, 0
+        while i < len(text):
+            if text[i] == "\\":
+                i += 1
+            elif text[i] == '"':
+                quoted, odd = not quoted, 1 - odd
+            elif not quoted:
+                depth += {"{": 1, "[": 1, "]": -1}.get(text[i], 0)
+            i += 1
+        return odd, depth - (not quoted)
+
+    for kind in (pa.string(), pa.large_string()):
+        got = arrays._states(pa.array(["x"] * offset + texts, kind)[offset:])
+        assert [x.tolist() for x in got] == [[read(t, False)[0] for t in texts], [read(t, False)[1] for t in texts], [read(t, True)[1] for t in texts]]

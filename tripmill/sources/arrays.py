@@ -31,41 +31,58 @@ WHOLE, CLOSES, OPEN = 0, 1, 2
 SPLIT, ROW, PATH, BLOCK, TEXT, KIND = "_a_split", "_a_row", "_a_path", "_a_block", "_a_text", "_a_kind"
 
 
-def _net(text, ends_outside):
-    """Brackets opened less those closed outside strings, with the separator that follows the chunk."""
-    bare = F.regexp_replace(text, r'"[^"]*("|\z)', "")
-    opened = F.length(bare) - F.length(F.translate(bare, "{[", ""))
-    closed = F.length(bare) - F.length(F.translate(bare, "]", ""))
-    return opened - closed - ends_outside.cast("int")
+#: Characters that change the state of a reader, by their bytes.
+MARKS = np.zeros(256, bool)
+MARKS[[ord(c) for c in '"\\{[]']] = True
+
+
+def _states(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each chunk: whether it holds an odd number of quotes, and how much deeper it leads with the separator after it.
+
+    The depth is told twice, taken to begin outside a string and inside; what a backslash escapes does not count.
+    """
+    n, wide = len(texts), pa.types.is_large_string(texts.type)
+    offsets = np.frombuffer(texts.buffers()[1], np.int64 if wide else np.int32)[texts.offset : texts.offset + n + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    starts = (offsets - offsets[0]).astype(np.int64)
+    at = np.flatnonzero(MARKS[data])
+    mark, chunk = data[at], np.searchsorted(starts, at, "right") - 1
+    slash = np.flatnonzero(mark == ord("\\"))
+    if len(slash):
+        # Of a run of backslashes each second one is escaped, and after an odd run what follows in the chunk.
+        new = np.append(True, (np.diff(at[slash]) != 1) | (np.diff(chunk[slash]) != 0))
+        first = np.flatnonzero(new)
+        length = np.diff(np.append(first, len(slash)))
+        last = slash[first + length - 1]
+        escaped = (at[last] + 1)[(length % 2 == 1) & (at[last] + 1 < starts[chunk[last] + 1])]
+        kept = (mark != ord("\\")) & ~np.isin(at, escaped)
+        mark, chunk = mark[kept], chunk[kept]
+    quote = mark == ord('"')
+    quotes = np.bincount(chunk[quote], minlength=n)
+    inside = (np.cumsum(quote) - (np.cumsum(quotes) - quotes)[chunk]) % 2 == 1
+    step = np.where(quote, 0, np.where(mark == ord("]"), -1, 1))
+    nets = [np.bincount(chunk[side], step[side], n).astype(np.int64) for side in (~inside, inside)]
+    odd = quotes % 2
+    return odd, nets[0] - (odd == 0), nets[1] - (odd == 1)
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.text(path, lineSep=END)
-    df = df.select(
+    return df.select(
         F.col("_metadata.file_path").alias(PATH),
         F.col("_metadata.file_block_start").alias(BLOCK),
         F.monotonically_increasing_id().alias(ROW),
         F.col("value").alias(TEXT),
         *[c for c in df.columns if c != "value"],
     )
-    plain = F.regexp_replace(TEXT, r"(?s)\\.", "")
-    quotes = F.length(plain) - F.length(F.translate(plain, '"', ""))
-    return df.withColumns(
-        {
-            "_a_quotes": (quotes % 2).cast("int"),
-            "_a_outside": _net(plain, quotes % 2 == 0),
-            "_a_inside": _net(F.concat(F.lit('"'), plain), quotes % 2 == 1),
-        }
-    )
 
 
 def _splits(chunks: DataFrame) -> DataFrame:
     """The state in which each range begins; ranges of files that are no array, or are cut short, are left out."""
     # Within a range the choice between both nets is itself a running state: it is taken where the chunks are
     # in order, by the map tasks, which hand on four numbers a range.
-    kept = chunks.select(PATH, BLOCK, ROW, "_a_quotes", "_a_outside", "_a_inside", F.substring(F.ltrim(F.ltrim(TEXT), F.lit("﻿ \t\r\n")), 1, 1).alias("first"))
     names = f"{PATH} string, {BLOCK} long, quotes int, outside long, inside long, first string"
-    ranges = kept.mapInArrow(_sum_ranges, names)
+    ranges = chunks.select(PATH, BLOCK, TEXT).mapInArrow(_sum_ranges, names)
     whole = Window.partitionBy(PATH)
     before = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("quote", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).cast("int"))
@@ -88,12 +105,12 @@ def _sum_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         paths, blocks = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-        odd, out, ins = (batch.column(i).to_numpy().astype("int64") for i in (3, 4, 5))
+        odd, out, ins = _states(batch.column(2))
         for a, b in _runs(blocks, np.array(paths, dtype=object)):
             if key != (paths[a], int(blocks[a])):
                 if key is not None:
                     yield done()
-                key, sums, first = (paths[a], int(blocks[a])), (0, 0, 0), batch.column(6)[a].as_py()
+                key, sums, first = (paths[a], int(blocks[a])), (0, 0, 0), batch.column(2)[a].as_py().lstrip(" ").lstrip("﻿ \t\r\n")[:1]
             parity = (sums[0] + np.cumsum(odd[a:b]) - odd[a:b]) % 2
             sums = (
                 int(sums[0] + odd[a:b].sum()) % 2,
@@ -133,8 +150,8 @@ def _assemble(extras: list[str]):
         split, pieces, quote, depth, begun, kind, rest = None, [], 0, 0, 0, WHOLE, None
         for batch in batches:
             cols = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            splits, odd = cols[SPLIT].to_numpy(), cols["_a_quotes"].to_numpy().astype("int64")
-            out, ins, texts = cols["_a_outside"].to_numpy(), cols["_a_inside"].to_numpy(), cols[TEXT].to_pylist()
+            splits, texts = cols[SPLIT].to_numpy(), cols[TEXT].to_pylist()
+            odd, out, ins = _states(cols[TEXT])
             rows = []
             for a, b in _runs(splits):
                 if split != splits[a]:
